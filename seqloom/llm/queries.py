@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.functions.instants import instant_micros
+from seqloom.functions.instants import instant, instant_micros
 from seqloom.llm.cooccurrence import PairLimits, latest_score_baskets, pair_surprise
+from seqloom.llm.nearest import nearest_neighbours, usable_vectors
 from seqloom.llm.sentences import split_sentences
 from seqloom.session import table
 
@@ -26,6 +27,28 @@ def p2_surprise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).withColumnsRenamed({"item_a": "anime_a", "item_b": "anime_b"})
 
 
+MODEL, DIM = "tessera-text-v2", 128
+LINK = 0.75
+
+
+def title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, vec): the current vector of every title, of length 1."""
+    df = table(spark, sf_dir, "anime_embeddings")
+    return usable_vectors(df, "anime_id", "embedding", DIM, instant(F.col("embedded_at")), (F.col("model_name") == MODEL) & (F.col("embedding_dim") == DIM))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of cosine 0.75 or more of which one is among the ten nearest of the other."""
+    found = nearest_neighbours(title_vectors(spark, sf_dir), 10).where(F.col("sim") >= LINK)
+    return found.select(F.least("id", "other").alias("anime_a"), F.greatest("id", "other").alias("anime_b")).distinct()
+
+
+def p3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest titles of every title whose id is divisible by 50."""
+    found = nearest_neighbours(title_vectors(spark, sf_dir), 10, every=50, sure=LINK)
+    return found.select(F.col("id").alias("anime_id"), "rank", F.col("other").alias("near_id"), F.round("sim", 6).alias("cosine"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sentence of every document."""
     return split_sentences(table(spark, sf_dir, "documents")).select("doc_id", "start_char", "end_char")
@@ -46,7 +69,11 @@ n AS (SELECT anime_id, count(*) AS n FROM b GROUP BY 1),
 t AS (SELECT count(DISTINCT user_id) AS t FROM b),
 c AS (SELECT x.anime_id AS a, y.anime_id AS b, count(*) AS n_ab FROM b x JOIN b y ON x.user_id = y.user_id AND x.anime_id < y.anime_id GROUP BY 1, 2)"""
 
-QUERIES = {"p2_found": p2_found, "p2_surprise": p2_surprise, "p9_found": p9_found, "p9_sentence_counts": p9_sentence_counts}
+QUERIES = {
+    "p2_found": p2_found, "p2_surprise": p2_surprise, "p3_found": p3_found,
+    "p3_nearest": p3_nearest,
+    "p9_found": p9_found, "p9_sentence_counts": p9_sentence_counts,
+}
 ORACLES = {
     "p2_found": f"""WITH {_BASKETS} SELECT c.a AS anime_a, c.b AS anime_b FROM c JOIN n na ON na.anime_id = c.a JOIN n nb ON nb.anime_id = c.b CROSS JOIN t
   WHERE n_ab >= 10 AND CAST(n_ab AS DOUBLE) * t / (CAST(na.n AS DOUBLE) * nb.n) >= 2 AND CAST(n_ab AS DOUBLE) / (na.n + nb.n - n_ab) >= 0.25""",
