@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions.instants import instant, instant_micros
 from seqloom.llm.cooccurrence import PairLimits, latest_score_baskets, pair_surprise
 from seqloom.llm.nearest import nearest_neighbours, usable_vectors
+from seqloom.llm.mixing import mix_sources, mix_report
+from seqloom.llm.packing import PackLimits, pack_items
 from seqloom.llm.sentences import split_sentences
+from seqloom.llm.splits import related_groups, split_related
+from seqloom.llm.tokens import with_tokens
 from seqloom.session import table
 
 
@@ -49,6 +53,63 @@ def p3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("anime_id"), "rank", F.col("other").alias("near_id"), F.round("sim", 6).alias("cosine"))
 
 
+def _example_keys() -> tuple[Column, Column]:
+    return F.col("user_id"), F.get("anime_ids", F.lit(0))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each example of a group of related ones beside the group's smallest."""
+    groups = related_groups(table(spark, sf_dir, "llm_prep_train"), "example_id", _example_keys())
+    first = groups.groupBy("root").agg(F.min("example_id").alias("example_a"))
+    found = groups.join(first, "root").where("example_id != example_a")
+    return found.select("example_a", F.col("example_id").alias("example_b"))
+
+
+def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split of every example."""
+    targets = [(r["split_name"], r["target_share"]) for r in table(spark, sf_dir, "split_targets").orderBy("split_name").collect()]
+    task = F.upper(F.trim("task"))
+    dealt = split_related(table(spark, sf_dir, "llm_prep_train"), "example_id", _example_keys(), task, targets)
+    return dealt.select("example_id", "task", "split_name")
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and share of every split, overall (task null) and per task."""
+    counts = p5_splits(spark, sf_dir).groupBy("task", "split_name").agg(F.count("*").alias("n"))
+    both = counts.unionByName(counts.groupBy("split_name").agg(F.sum("n").alias("n")).select(F.lit("(all)").alias("task"), "split_name", "n"))
+    whole = both.groupBy("task").agg(F.sum("n").alias("whole"))
+    return both.join(whole, "task").select("task", "split_name", "n", F.round(F.col("n") / F.col("whole"), 6).alias("share"))
+
+
+def p7_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in containers of each size."""
+    sizes = with_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
+    packs = [(r["pack_name"], r["capacity_tokens"]) for r in table(spark, sf_dir, "pack_sizes").orderBy("pack_name").collect()]
+    return pack_items(sizes, "doc_id", [PackLimits(name, capacity, max_segments=64) for name, capacity in packs])
+
+
+def p7_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of each size, and the share of their space that is unused."""
+    bins = p7_packs(spark, sf_dir).where("container_id is not null").groupBy("pack_name", "container_id").agg(F.max("unused_tokens").alias("unused"), F.sum("n_tokens").alias("used"), F.count("*").alias("segments"))
+    return bins.groupBy("pack_name").agg(F.count("*").alias("n_containers"), F.sum("segments").alias("n_segments"), F.sum("used").alias("used_tokens"), F.sum("unused").alias("unused_tokens"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents = table(spark, sf_dir, "documents").withColumn("source", F.lower(F.trim("source")))
+    return with_tokens(documents, "doc_id", "text", ("source",)), table(spark, sf_dir, "mix_targets").withColumn("source", F.lower(F.trim("source")))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen documents and how often each is used."""
+    return mix_sources(*_mix(spark, sf_dir), "doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted and actual share of every source."""
+    sizes, targets = _mix(spark, sf_dir)
+    return mix_report(mix_sources(sizes, targets, "doc_id"), sizes, targets)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sentence of every document."""
     return split_sentences(table(spark, sf_dir, "documents")).select("doc_id", "start_char", "end_char")
@@ -72,6 +133,13 @@ c AS (SELECT x.anime_id AS a, y.anime_id AS b, count(*) AS n_ab FROM b x JOIN b
 QUERIES = {
     "p2_found": p2_found, "p2_surprise": p2_surprise, "p3_found": p3_found,
     "p3_nearest": p3_nearest,
+    "p5_found": p5_found,
+    "p5_splits": p5_splits,
+    "p5_shares": p5_shares,
+    "p7_packs": p7_packs,
+    "p7_unused": p7_unused,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
     "p9_found": p9_found, "p9_sentence_counts": p9_sentence_counts,
 }
 ORACLES = {
