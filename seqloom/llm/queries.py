@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions.instants import instant, instant_micros
+from seqloom.llm.clusters import describe_clusters, similar_groups
 from seqloom.llm.cooccurrence import PairLimits, latest_score_baskets, pair_surprise
 from seqloom.llm.nearest import nearest_neighbours, usable_vectors
 from seqloom.llm.mixing import mix_sources, mix_report
@@ -41,6 +42,20 @@ def title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usable_vectors(df, "anime_id", "embedding", DIM, instant(F.col("embedded_at")), (F.col("model_name") == MODEL) & (F.col("embedding_dim") == DIM))
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each member of a cluster of three or more beside the cluster's smallest title."""
+    groups = similar_groups(title_vectors(spark, sf_dir))
+    large = groups.groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 3")
+    return groups.join(large, "cluster").where("id != cluster").select(F.col("cluster").alias("anime_a"), F.col("id").alias("anime_b"))
+
+
+def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every title, its size, and the places of its most typical titles."""
+    vectors = title_vectors(spark, sf_dir)
+    described = describe_clusters(vectors, similar_groups(vectors))
+    return described.select(F.col("id").alias("anime_id"), F.col("cluster").alias("cluster_id"), F.col("size").alias("cluster_size"), F.round("typicality", 6).alias("typicality"), F.col("place").alias("typical_place"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of cosine 0.75 or more of which one is among the ten nearest of the other."""
     found = nearest_neighbours(title_vectors(spark, sf_dir), 10).where(F.col("sim") >= LINK)
@@ -131,6 +146,8 @@ t AS (SELECT count(DISTINCT user_id) AS t FROM b),
 c AS (SELECT x.anime_id AS a, y.anime_id AS b, count(*) AS n_ab FROM b x JOIN b y ON x.user_id = y.user_id AND x.anime_id < y.anime_id GROUP BY 1, 2)"""
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_clusters": p1_clusters,
     "p2_found": p2_found, "p2_surprise": p2_surprise, "p3_found": p3_found,
     "p3_nearest": p3_nearest,
     "p5_found": p5_found,
