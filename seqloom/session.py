@@ -39,7 +39,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seqloom-"))
-    return df.checkpoint()
+    cut = df.checkpoint()
+    # A checkpointed frame still carries the size estimates of the plan behind it, which
+    # multiply with every join of an iteration; a frame over its rows alone does not.
+    rows = cut._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, cut._jdf.schema(), False), spark)
 
 
 def parallelism(spark: SparkSession) -> int:
