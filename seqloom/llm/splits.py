@@ -108,8 +108,9 @@ def deal_groups(rows: DataFrame, task: Column, targets: Sequence[tuple[str, floa
 
     A group as large as a twentieth of the smallest split (there are at most
     20 / share of those) goes, largest first, to the split that it overfills least and that lacks its tasks most.
-    The others are dealt within their commonest task and size band, by what each
-    split still lacks of that task. Fewer groups than splits leave splits empty.
+    The others are dealt along one chain for each commonest task, size band by size
+    band, by what each split still lacks of that task, one task after the other (there
+    must be few). Fewer groups than splits leave splits empty.
     """
     total_share = sum(max(0.0, s) for _, s in targets)
     if not targets or total_share <= 0:
@@ -137,19 +138,28 @@ def deal_groups(rows: DataFrame, task: Column, targets: Sequence[tuple[str, floa
     spark = rows.sparkSession
     large = spark.createDataFrame(fixed, "root string, split_name string")
     rest = groups.where(F.col("size") < bound).withColumn("band", F.floor(F.log2("size")).cast("int"))
-    placed = running_sum(rest.select("root", "size", "task", "band"), ["task", "band"], F.xxhash64(F.lit(seed), "root"), "root", "size")
-    cycle = F.pow(F.lit(2.0), F.col("band")) * max(2.0, round(1 / least))
-    at = ((F.col("before") + F.col("size") / 2.0) / cycle) % 1.0
-    split = F.lit(None).cast("string")
-    for t in all_tasks:
+    # largest bands first, at random inside; one chain a task, so that rests of a cycle carry over
+    order = F.shiftleft(F.lit(63) - F.col("band").cast("long"), 57) + F.shiftrightunsigned(F.xxhash64(F.lit(seed), "root"), 7)
+    placed = checkpoint(running_sum(rest, ["task"], order, "root", "size", 15))
+    at = ((F.col("before") + F.col("size") / 2.0) / (bound / least)) % 1.0
+    foreign = placed.groupBy("task").agg(F.sum(F.col("size") - F.coalesce(F.try_element_at("by_task", "task"), F.lit(0))).alias("n"))
+    chains = [r["task"] for r in foreign.orderBy(F.desc("n"), "task").collect()]
+    dealt = None
+    for t in chains:  # those that hold most rows of other tasks first: the later ones make up for them
         need = {s: n for s in shares if (n := max(0.0, lacks[s, t])) > 0} or {max(shares, key=lambda s: shares[s]): 1.0}
         whole, edge = sum(need.values()), 1.0
         choice = F.lit(list(need)[-1])
         for s, after in reversed(list(zip(need, list(need)[1:]))):
             edge -= need[after] / whole
             choice = F.when(at < edge, F.lit(s)).otherwise(choice)
-        split = F.when(F.col("task") == t, choice).otherwise(split)
-    return placed.select("root", split.alias("split_name")).unionByName(large)
+        chain = placed.where(F.col("task") == t).withColumn("split_name", choice)
+        if len(chains) > 1:
+            used = chain.select("split_name", F.explode("by_task").alias("t", "n")).groupBy("split_name", "t").agg(F.sum("n").alias("n"))
+            for r in used.collect():
+                lacks[r["split_name"], r["t"]] -= r["n"]
+        chain = chain.select("root", "split_name")
+        dealt = chain if dealt is None else dealt.unionByName(chain)
+    return large if dealt is None else dealt.unionByName(large)
 
 
 def split_related(df: DataFrame, row: str, keys: Sequence[Column], task: Column, targets: Sequence[tuple[str, float]], seed: int = 42) -> DataFrame:
