@@ -16,7 +16,7 @@ STATUS_CODES = {"watching": 1, "completed": 2, "on hold": 3, "dropped": 4, "plan
 #: White space of every script, with the four separator control signs.
 SPACE = r"[\s\x1c-\x1f\x{85}\p{Z}]"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INTEGER = r"^[+-]?\d+$"
+_INTEGER = r"^\+?\d+$|^-0+$"
 
 
 def strip(text: Column) -> Column:
@@ -29,16 +29,20 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
-def catalogue_text(text: Column, unknown_is_null: bool = False) -> Column:
-    """Collapsed text with commas for semicolons; missing words become null.
+def keep_text(clean: Column, unknown_is_null: bool = False) -> Column:
+    """Commas for semicolons in a collapsed text; missing words become null.
 
     ``unknown_is_null`` also takes "unknown" and "n/a" as missing.
     """
-    clean = collapse(text)
     words = NULL_WORDS + (UNKNOWN_WORDS if unknown_is_null else ())
     return F.when(~F.lower(clean).isin(*words), F.translate(clean, ";", ","))
 
 
+def catalogue_text(text: Column, unknown_is_null: bool = False) -> Column:
+    """:func:`keep_text` of the collapsed text."""
+    return keep_text(collapse(text), unknown_is_null)
+
+
 def prompt_text(text: Column) -> Column:
     """Collapsed text; null becomes the empty text."""
     return F.coalesce(collapse(text), F.lit(""))
@@ -51,29 +55,33 @@ def imported_text(text: Column) -> Column:
 
 
 def number(value: Column) -> Column:
-    """A plain decimal number as double, anything else null; infinities and NaN are null."""
-    text = strip(value.cast("string"))
-    parsed = F.when(text.rlike(_NUMBER), text).try_cast("double")
-    return F.when(F.abs(parsed) < float("inf"), parsed)
+    """A plain decimal number as double, anything else null."""
+    return F.regexp_extract(strip(value.cast("string")), _NUMBER, 0).try_cast("double")
+
+
+def keep_score(parsed: Column) -> Column:
+    """A number from 0 to 10, else null."""
+    return F.when(parsed.between(0.0, 10.0), parsed)
 
 
 def score(value: Column) -> Column:
     """A score from 0 to 10, else null."""
-    parsed = number(value)
-    return F.when(parsed.between(0.0, 10.0), parsed)
+    return keep_score(number(value))
+
+
+def keep_whole(parsed: Column) -> Column:
+    """A number cut to a whole one, null if below zero or too large."""
+    return F.when(parsed > -1, parsed.try_cast("bigint"))
 
 
 def nonnegative_int(value: Column) -> Column:
     """A number cut to a whole one, null if below zero or no number."""
-    whole = F.when(number(value) > -1, number(value)).try_cast("bigint")
-    return F.when(whole >= 0, whole)
+    return keep_whole(number(value))
 
 
 def strict_nonnegative_int(value: Column) -> Column:
     """As above, but a text must be a whole number ('20.8' is null)."""
-    text = strip(value.cast("string"))
-    whole = F.when(text.rlike(_INTEGER), text).try_cast("bigint")
-    return F.when(whole >= 0, whole)
+    return F.nullif(F.regexp_extract(strip(value.cast("string")), _INTEGER, 0), F.lit("")).try_cast("bigint")
 
 
 def int_or(value: Column, default: int) -> Column:

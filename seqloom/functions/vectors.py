@@ -8,15 +8,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def vector_from_bytes(blob: pd.Series) -> pd.Series:
     """Little-endian 32-bit floats; null for null and for a length that is no multiple of four."""
     return blob.map(lambda b: np.frombuffer(b, "<f4") if b is not None and len(b) % 4 == 0 else None)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def vector_to_bytes(vector: pd.Series) -> pd.Series:
     """The inverse of :func:`vector_from_bytes`."""
     return vector.map(lambda v: None if v is None else np.asarray(v, "<f4").tobytes())
@@ -90,11 +91,12 @@ def quantise(vector: Column, codebooks: list[np.ndarray]) -> Column:
 
     @F.pandas_udf("array<int>")
     def run(batch: pd.Series) -> pd.Series:
-        there = batch.notna()
-        out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-        if there.any():
-            out[there] = list(residual_codes(np.stack(batch[there].to_list()), codebooks))
-        return out
+        out = np.full(len(batch), None, object)
+        there = np.flatnonzero(batch.notna())
+        if len(there):
+            for i, code in zip(there, residual_codes(np.stack(batch.iloc[there].to_list()), codebooks), strict=True):
+                out[i] = code
+        return pd.Series(out)
 
     return run(vector)
 

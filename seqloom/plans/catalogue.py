@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.functions.text import any_null, catalogue_text, format_value, labelled_text, nonnegative_int, score
+from seqloom.functions.text import any_null, collapse, format_value, keep_score, keep_text, keep_whole, labelled_text, number
 from seqloom.schemas import TABLES, conform
 from seqloom.sources.readers import catalogue_rows
 
@@ -23,10 +23,14 @@ UNKNOWN_IS_NULL = {"type", "anime_status", "rating"}
 CORE = ("name", "type", "episodes", "rating", "members")
 
 
-def _clean(name: str, kind: str) -> Column:
+def _parse(name: str, kind: str) -> Column:
+    return collapse(F.col(name)) if kind == "string" else number(F.col(name))
+
+
+def _keep(name: str, kind: str) -> Column:
     if kind == "bigint":
-        return nonnegative_int(F.col(name))
-    return score(F.col(name)) if kind == "double" else catalogue_text(F.col(name), name in UNKNOWN_IS_NULL)
+        return keep_whole(F.col(name))
+    return keep_score(F.col(name)) if kind == "double" else keep_text(F.col(name), name in UNKNOWN_IS_NULL)
 
 
 def prepare_catalogue(catalogue: DataFrame, prepared_at: str, limit: int = 0) -> DataFrame:
@@ -35,7 +39,9 @@ def prepare_catalogue(catalogue: DataFrame, prepared_at: str, limit: int = 0) ->
     A row without a usable id is an error. Missing columns count as null.
     """
     rows = catalogue_rows(catalogue, limit)
-    clean = rows.select(*[_clean(c, kind).alias(c) for _, c, kind in LABELS], catalogue_text(F.col("imported_at")).alias("source_imported_at"))
+    # two steps, so that each pattern is applied once and the generated code stays small
+    parsed = rows.select(*[_parse(c, kind).alias(c) for _, c, kind in LABELS], collapse(F.col("imported_at")).alias("imported_at"))
+    clean = parsed.select(*[_keep(c, kind).alias(c) for _, c, kind in LABELS], keep_text(F.col("imported_at")).alias("source_imported_at"))
     clean = clean.withColumn("anime_id", F.coalesce("anime_id", F.raise_error(F.lit("a catalogue row has no valid id")).cast("bigint")))
     flagged = clean.withColumns({
         "flag_missing_core": any_null([F.col(c) for c in CORE]), "flag_missing_synopsis": F.col("synopsis").isNull().cast("int"), "prepared_at": F.lit(prepared_at),

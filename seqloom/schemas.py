@@ -7,8 +7,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SIMPLE = {"bigint": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "float": T.FloatType, "string": T.StringType, "boolean": T.BooleanType}
+
+
+def split_fields(text: str) -> list[str]:
+    """Top-level fields of a schema text."""
+    out, deep, start = [], 0, 0
+    for i, c in enumerate(text):
+        deep += (c == "<") - (c == ">")
+        if c == "," and not deep:
+            out.append(text[start:i].strip())
+            start = i + 1
+    return [*out, text[start:].strip()]
+
+
+def _type(text: str) -> T.DataType:
+    if text.startswith("array<"):
+        return T.ArrayType(_type(text[6:-1]))
+    return _schema(text[7:-1]) if text.startswith("struct<") else _SIMPLE[text]()
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A schema from text, without a session."""
+    pairs = (f.replace(": ", " ", 1).split(" ", 1) for f in split_fields(text))
+    return T.StructType([T.StructField(name, _type(kind.strip())) for name, kind in pairs])
 
 
 CATALOGUE_COLUMNS = (

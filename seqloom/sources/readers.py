@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.text import imported_text, int_or, join_names, number, status_code, strip
-from seqloom.schemas import CATALOGUE_COLUMNS, SEMANTIC_JSON, TABLES, conform
+from seqloom.schemas import CATALOGUE_COLUMNS, SEMANTIC_JSON, TABLES, conform, split_fields
 
 # Accepted column names of imported files, in order of preference.
 CATALOGUE_ALIASES = {"anime_id": ("anime_id", "mal_id"), "name": ("name", "title"), "english_name": ("english_name", "title_english")}
@@ -146,7 +146,7 @@ PAYLOAD = (
 
 def payload_rows(pages: DataFrame, column: str, imported_at: str) -> DataFrame:
     """Catalogue rows of JSON payloads {data: {...}}; zeros of counts become null, ids below 1 are dropped."""
-    d = F.from_json(F.col(column), f"data struct<{', '.join(': '.join(f.split(' ', 1)) for f in _fields(PAYLOAD))}>")["data"]
+    d = F.from_json(F.col(column), f"data struct<{', '.join(': '.join(f.split(' ', 1)) for f in split_fields(PAYLOAD))}>")["data"]
     rows = pages.select(d.alias("d")).where("d.mal_id > 0")
     genres = F.concat_ws(", ", *[join_names(F.col(f"d.{x}")) for x in ("genres", "themes", "demographics")])
     season, year = imported_text(F.col("d.season")), F.coalesce("d.year", F.lit(0))
@@ -160,18 +160,6 @@ def payload_rows(pages: DataFrame, column: str, imported_at: str) -> DataFrame:
     )
 
 
-def _fields(ddl: str) -> list[str]:
-    """Top-level fields of a schema text."""
-    out, deep, start = [], 0, 0
-    for i, c in enumerate(ddl):
-        deep += c == "<"
-        deep -= c == ">"
-        if c == "," and not deep:
-            out.append(ddl[start:i].strip())
-            start = i + 1
-    return [*out, ddl[start:].strip()]
-
-
 # Fixed value: layout of a page of a user's list, in both spellings of its fields.
 LIST_PAGE = (
     "data array<struct<anime: struct<mal_id: bigint>, anime_id: bigint, mal_id: bigint, score: string, status: string, "
