@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,11 @@ _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INTEGER = r"^\+?\d+$|^-0+$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value, which is worked out once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
@@ -128,11 +133,11 @@ def genre_set(value: Column) -> Column:
 
 def join_phrases(items: Column) -> Column:
     """'', 'a', 'a and b' or 'a, b, and c'."""
-    return (
-        F.when(F.size(items) <= 0, "")
-        .when(F.size(items) == 1, F.get(items, F.lit(0)))
-        .when(F.size(items) == 2, F.array_join(items, " and "))
-        .otherwise(F.concat(F.array_join(F.slice(items, F.lit(1), F.greatest(F.size(items) - 1, F.lit(0))), ", "), F.lit(", and "), F.try_element_at(items, F.lit(-1))))
+    return let(
+        items,
+        lambda x: F.when(F.size(x) <= 2, F.array_join(x, " and ")).otherwise(
+            F.concat(F.array_join(F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0))), ", "), F.lit(", and "), F.try_element_at(x, F.lit(-1)))
+        ),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.functions.text import join_phrases, leading_themes, preferred_title, prompt_text, split_list, strict_nonnegative_int, year_text
+from seqloom.functions.text import join_phrases, leading_themes, let, preferred_title, prompt_text, split_list, strict_nonnegative_int, year_text
 
 _META = ("template_id", "mask_mode", "mask_index", "history_len", "kind")
 
@@ -68,62 +68,61 @@ def template_counts(rows: DataFrame) -> DataFrame:
 
 
 def anchor_reasoning(genres: Column, kind: Column, source: Column) -> Column:
-    """What one item offers, from its genres, type and source."""
-    listed = split_list(genres)
+    """What one item offers, from its list of genres, type and source."""
     clauses = F.filter(
         F.array(
-            join_phrases(F.slice(listed, 1, 3)),
+            join_phrases(F.slice(genres, 1, 3)),
             F.when(kind != "", F.concat(F.lower(kind), F.lit(" storytelling"))).otherwise(""),
             F.when(source != "", F.concat(F.lower(source), F.lit("-inspired worldbuilding"))).otherwise(""),
         ),
         lambda x: x != "",
     )
-    joined = F.concat(F.array_join(F.slice(clauses, F.lit(1), F.greatest(F.size(clauses) - 1, F.lit(0))), ", "), F.lit(", and "), F.try_element_at(clauses, F.lit(-1)))
-    return F.when(F.size(clauses) == 0, "character-focused stories, strong atmosphere, and thematic depth").when(F.size(clauses) == 1, F.get(clauses, F.lit(0))).otherwise(joined)
+    return let(
+        clauses,
+        lambda c: F.when(F.size(c) == 0, "character-focused stories, strong atmosphere, and thematic depth")
+        .when(F.size(c) == 1, F.get(c, F.lit(0)))
+        .otherwise(F.concat(F.array_join(F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0))), ", "), F.lit(", and "), F.try_element_at(c, F.lit(-1)))),
+    )
 
 
-def _shared(lists: Column) -> Column:
-    """Names in every non-empty list, sorted."""
-    filled = F.filter(lists, lambda x: F.size(x) > 0)
-    common = F.aggregate(filled, F.get(filled, F.lit(0)), lambda s, x: F.array_intersect(s, x))
-    return F.when(F.size(filled) > 0, F.array_sort(common)).otherwise(F.slice(F.array(F.lit("")), 1, 0))
+def _shared(filled: Column) -> Column:
+    """Names in every one of the lists, sorted; none of no lists."""
+    none = F.array().cast("array<string>")
+    return let(filled, lambda x: F.when(F.size(x) > 0, F.array_sort(F.aggregate(x, F.get(x, F.lit(0)), lambda s, y: F.array_intersect(s, y)))).otherwise(none))
 
 
 def _commonest(lists: Column, most: int = 3) -> Column:
     """The most frequent names, equal ones by first appearance."""
-    flat = F.flatten(lists)
 
-    def ranked(all_names: Column) -> Column:
-        names = F.array_distinct(all_names)
-        counted = F.transform(names, lambda n, i: F.struct((-F.size(F.filter(all_names, lambda x: x == n))).alias("c"), i.alias("i"), n.alias("n")))
+    def ranked(every: Column) -> Column:
+        counted = F.transform(F.array_distinct(every), lambda n, i: F.struct((-F.size(F.filter(every, lambda x: x == n))).alias("c"), i.alias("i"), n.alias("n")))
         return F.transform(F.slice(F.array_sort(counted), 1, most), lambda x: x["n"])
 
-    return F.element_at(F.transform(F.array(flat), ranked), 1)
+    return let(F.flatten(lists), ranked)
 
 
 def shared_reasoning(facts: Column) -> Column:
-    """What several items share; ``facts``: array of (genres, studios, type, year), one for each known item."""
-    genres = F.transform(facts, lambda x: split_list(x["genres"]))
-    studios = F.transform(F.filter(facts, lambda x: x["studios"] != ""), lambda x: split_list(x["studios"]))
+    """What several items share; ``facts``: array of (genres, studios, type, year) with lists of names."""
+    genres = F.filter(F.transform(facts, lambda x: x["genres"]), lambda g: F.size(g) > 0)
+    studios = F.filter(F.transform(facts, lambda x: x["studios"]), lambda s: s.isNotNull())
     years = F.filter(F.transform(facts, lambda x: x["year"]), lambda y: y.isNotNull())
     kinds = F.array_distinct(F.filter(F.transform(facts, lambda x: x["type"]), lambda t: t != ""))
-    both, houses = _shared(genres), _shared(F.filter(studios, lambda x: F.size(x) > 0))
-    # an empty studio list after splitting leaves nothing in common
-    houses = F.when(F.exists(studios, lambda x: F.size(x) == 0), F.slice(houses, 1, 0)).otherwise(houses)
-    top = _commonest(genres)
-    low, high = F.array_min(years), F.array_max(years)
-    clauses = F.filter(
-        F.array(
-            F.when(F.size(both) > 0, F.concat(join_phrases(F.slice(both, 1, 3)), F.lit(" themes"))).when(F.size(top) > 0, F.concat(join_phrases(top), F.lit(" elements"))),
-            F.when(F.size(houses) > 0, F.concat(F.lit("production style from "), join_phrases(F.slice(houses, 1, 2)))),
-            F.when(low == high, F.concat(F.lit("a similar "), low.cast("string"), F.lit(" era tone"))).when(
-                high - low <= 6, F.concat(F.lit("closely aligned "), low.cast("string"), F.lit("-"), high.cast("string"), F.lit(" era pacing"))
-            ),
-            F.when(F.size(kinds) == 1, F.concat(F.lower(F.get(kinds, F.lit(0))), F.lit(" storytelling rhythms"))),
+    themes = let(
+        _shared(genres),
+        lambda both: F.when(F.size(both) > 0, F.concat(join_phrases(F.slice(both, 1, 3)), F.lit(" themes"))).otherwise(
+            let(_commonest(genres), lambda top: F.when(F.size(top) > 0, F.concat(join_phrases(top), F.lit(" elements"))))
+        ),
+    )
+    houses = let(_shared(studios), lambda h: F.when(F.size(h) > 0, F.concat(F.lit("production style from "), join_phrases(F.slice(h, 1, 2)))))
+    era = let(
+        F.struct(F.array_min(years).alias("low"), F.array_max(years).alias("high")),
+        lambda y: F.when(y["low"] == y["high"], F.concat(F.lit("a similar "), y["low"].cast("string"), F.lit(" era tone"))).when(
+            y["high"] - y["low"] <= 6, F.concat(F.lit("closely aligned "), y["low"].cast("string"), F.lit("-"), y["high"].cast("string"), F.lit(" era pacing"))
         ),
-        lambda x: x.isNotNull(),
     )
-    return F.when(F.size(clauses) == 0, "overlapping tone, pacing, and character-driven conflicts").otherwise(join_phrases(clauses))
+    rhythm = let(kinds, lambda k: F.when(F.size(k) == 1, F.concat(F.lower(F.get(k, F.lit(0))), F.lit(" storytelling rhythms"))))
+    clauses = F.filter(F.array(themes, houses, era, rhythm), lambda x: x.isNotNull())
+    return let(clauses, lambda c: F.when(F.size(c) == 0, "overlapping tone, pacing, and character-driven conflicts").otherwise(join_phrases(c)))
 
 
 def liked_rows(seeds: DataFrame, facts: DataFrame) -> DataFrame:
@@ -131,7 +130,7 @@ def liked_rows(seeds: DataFrame, facts: DataFrame) -> DataFrame:
 
     Seeds with an item that has no semantic id are left out.
     """
-    known = facts.select("anime_id", "semantic_id", F.struct("genres", "studios", "type", "source", "year").alias("f"))
+    known = facts.select("anime_id", "semantic_id", F.struct(split_list(F.col("genres")).alias("genres"), F.when(F.col("studios") != "", split_list(F.col("studios"))).alias("studios"), "type", "source", "year").alias("f"))
     parts = seeds.select("user_id", "kind", "anime_ids", F.posexplode("anime_ids").alias("pos", "anime_id")).join(known, "anime_id")
     rows = parts.groupBy("user_id", "kind", "anime_ids").agg(F.array_sort(F.collect_list(F.struct("pos", "semantic_id", "f"))).alias("x"))  # at most three a seed
     rows = rows.where(F.size("x") == F.size("anime_ids"))
