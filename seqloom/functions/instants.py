@@ -16,8 +16,8 @@ def instant(text: Column) -> Column:
         F.substring(text, -5, 1).isin("+", "-") & (F.length(text) > 19)
     )
     # a bare date ends in -MM-DD, which looks like a zone, and means midnight
-    zoned = zoned & (F.length(text) > 10)
-    return F.when(zoned, text).otherwise(F.concat(text, F.when(F.length(text) > 10, "Z").otherwise(" 00:00:00Z"))).try_cast("timestamp")
+    whole = F.when(F.length(text) > 10, F.when(zoned, text).otherwise(F.concat(text, F.lit("Z")))).when(F.length(text) == 10, F.concat(text, F.lit(" 00:00:00Z")))
+    return whole.try_cast("timestamp")
 
 
 def instant_micros(text: Column) -> Column:
