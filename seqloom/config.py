@@ -103,7 +103,7 @@ def section(body: Mapping[str, Any], name: str) -> Mapping[str, Any]:
 def _build(kind: type, values: Mapping[str, Any], names: Mapping[str, str] | None = None) -> Any:
     """A settings object of the known names; lists become tuples, unknown names are passed over."""
     known = {f.name for f in fields(kind)}
-    pairs = ((names or {}).get(k, k if not names else None), v) for k, v in values.items())
+    pairs = (((names or {}).get(k, k if not names else None), v) for k, v in values.items())
     try:
         return kind(**{k: tuple(v) if isinstance(v, list) else v for k, v in pairs if k in known})
     except (TypeError, ValueError) as e:

@@ -171,7 +171,7 @@ def list_page_rows(pages: DataFrame, column: str) -> DataFrame:
     """Interaction rows of JSON pages (user_id, scraped_at, <column>); entries without an item are dropped."""
     x = F.col("x")
     parsed = pages.select("user_id", "scraped_at", F.explode(F.from_json(column, LIST_PAGE)["data"]).alias("x"))
-    item = F.coalesce(F.nullif(x["anime.mal_id"], F.lit(0).cast("bigint")), F.nullif(x["anime_id"], F.lit(0).cast("bigint")), x["mal_id"], F.lit(0).cast("bigint"))
+    item = F.coalesce(F.nullif(x["anime"]["mal_id"], F.lit(0).cast("bigint")), F.nullif(x["anime_id"], F.lit(0).cast("bigint")), x["mal_id"], F.lit(0).cast("bigint"))
     rows = parsed.select(
         "user_id", item.alias("anime_id"), F.coalesce(x["score"].try_cast("int"), F.lit(0)).alias("score"), status_code(x["status"], 0).alias("watching_status"),
         F.coalesce(x["episodes_watched"].try_cast("int"), x["watched_episodes"].try_cast("int"), F.lit(0)).alias("watched_episodes"), "scraped_at",
