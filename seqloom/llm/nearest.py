@@ -51,6 +51,8 @@ def usable_vectors(df: DataFrame, key: str, vector: str, dim: int, order: Column
     finite = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     nonzero = F.exists("v", lambda x: x != 0)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    # the outer lambda binds the norm, which is else worked out for every entry
+    scaled = F.element_at(F.transform(F.array(norm), lambda n: F.transform("v", lambda x: x.cast("double") / n)), 1)
     return (
         df.where(where & F.col(key).isNotNull())
         .select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v"), order.alias("o"))
@@ -58,7 +60,7 @@ def usable_vectors(df: DataFrame, key: str, vector: str, dim: int, order: Column
         .groupBy("id")
         .agg(F.max(F.struct("o", "v")).alias("m"))
         .select("id", F.col("m.v").alias("v"))
-        .select("id", F.transform("v", lambda x: (x.cast("double") / norm)).alias("vec"))
+        .select("id", scaled.alias("vec"))
     )
 
 
