@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.session import checkpoint
+
 #: Items that one task packs.
 SHARD_ITEMS = 20_000
 
@@ -94,6 +96,7 @@ def pack_items(sizes: DataFrame, key: str, kinds: Sequence[PackLimits], seed: in
     sizes, need no room: they are listed with a null container. Repeated rows are
     packed as often as they stand; a null key stays null. Same input, same result.
     """
+    sizes = checkpoint(sizes.select(key, "n_tokens"))  # else every kind counts the tokens again
     items = None
     for limits in kinds:
         cut = cut_items(sizes.where("n_tokens > 0"), key, limits).withColumn("pack_name", F.lit(limits.name))
