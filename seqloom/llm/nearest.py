@@ -208,7 +208,8 @@ def nearest_classes(classes: DataFrame, k: int, index: CurveIndex) -> DataFrame:
     """
     spark = classes.sparkSession
     projections = fit_projections(classes, index)
-    parts = max(1, parallelism(spark) // 2)
+    # a row near the end of a partition meets fewer others, so partitions are many windows long
+    parts = max(1, min(parallelism(spark), classes.count() // (8 * index.window)))
     rows = classes.select("id", "vec", "ask")
     keep = k + index.spare
     lists = None
