@@ -56,6 +56,11 @@ def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.select(F.col("id").alias("anime_id"), F.col("cluster").alias("cluster_id"), F.col("size").alias("cluster_size"), F.round("typicality", 6).alias("typicality"), F.col("place").alias("typical_place"))
 
 
+def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pairs with what is counted, without the null."""
+    return _pairs(spark, sf_dir).select(F.col("item_a").alias("anime_a"), F.col("item_b").alias("anime_b"), "n_ab", "n_a", "n_b", "n_baskets", F.round("lift", 9).alias("lift"), F.round("jaccard", 9).alias("jaccard"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of cosine 0.75 or more of which one is among the ten nearest of the other."""
     found = nearest_neighbours(title_vectors(spark, sf_dir), 10).where(F.col("sim") >= LINK)
@@ -145,10 +150,16 @@ n AS (SELECT anime_id, count(*) AS n FROM b GROUP BY 1),
 t AS (SELECT count(DISTINCT user_id) AS t FROM b),
 c AS (SELECT x.anime_id AS a, y.anime_id AS b, count(*) AS n_ab FROM b x JOIN b y ON x.user_id = y.user_id AND x.anime_id < y.anime_id GROUP BY 1, 2)"""
 
+_VECTORS = """v AS (SELECT anime_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM (
+  SELECT anime_id, embedding, row_number() OVER (PARTITION BY anime_id ORDER BY CAST(embedded_at AS TIMESTAMPTZ) DESC, embedding DESC) AS r FROM anime_embeddings
+  WHERE model_name = 'tessera-text-v2' AND embedding_dim = 128 AND len(embedding) = 128 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AND anime_id IS NOT NULL) WHERE r = 1),
+s AS (SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.e, b.e), 12) AS c FROM v a JOIN v b ON a.id <> b.id)"""
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_clusters": p1_clusters,
-    "p2_found": p2_found, "p2_surprise": p2_surprise, "p3_found": p3_found,
+    "p2_found": p2_found, "p2_surprise": p2_surprise, "p2_counts": p2_counts, "p3_found": p3_found,
     "p3_nearest": p3_nearest,
     "p5_found": p5_found,
     "p5_splits": p5_splits,
@@ -159,7 +170,21 @@ QUERIES = {
     "p8_shares": p8_shares,
     "p9_found": p9_found, "p9_sentence_counts": p9_sentence_counts,
 }
+_HITS = """ FROM c JOIN n na ON na.anime_id = c.a JOIN n nb ON nb.anime_id = c.b CROSS JOIN t
+  WHERE n_ab >= 10 AND CAST(n_ab AS DOUBLE) * t / (CAST(na.n AS DOUBLE) * nb.n) >= 2 AND CAST(n_ab AS DOUBLE) / (na.n + nb.n - n_ab) >= 0.25"""
 ORACLES = {
-    "p2_found": f"""WITH {_BASKETS} SELECT c.a AS anime_a, c.b AS anime_b FROM c JOIN n na ON na.anime_id = c.a JOIN n nb ON nb.anime_id = c.b CROSS JOIN t
-  WHERE n_ab >= 10 AND CAST(n_ab AS DOUBLE) * t / (CAST(na.n AS DOUBLE) * nb.n) >= 2 AND CAST(n_ab AS DOUBLE) / (na.n + nb.n - n_ab) >= 0.25""",
+    "p1_found": f"""WITH RECURSIVE {_VECTORS}, l AS MATERIALIZED (SELECT a, b FROM s WHERE c >= 0.75),
+  g(id, r) AS (SELECT id, id FROM v UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.id), m AS (SELECT id, min(r) AS r FROM g GROUP BY 1)
+  SELECT r AS anime_a, id AS anime_b FROM m WHERE id <> r AND r IN (SELECT r FROM m GROUP BY 1 HAVING count(*) >= 3)""",
+    "p2_counts": f"""WITH {_BASKETS} SELECT c.a AS anime_a, c.b AS anime_b, n_ab, na.n AS n_a, nb.n AS n_b, t AS n_baskets,
+  round(CAST(n_ab AS DOUBLE) * t / (CAST(na.n AS DOUBLE) * nb.n), 9) AS lift, round(CAST(n_ab AS DOUBLE) / (na.n + nb.n - n_ab), 9) AS jaccard {_HITS}""",
+    "p3_found": f"""WITH {_VECTORS}, k AS (SELECT * FROM (SELECT a, b, c, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS r FROM s) WHERE r <= 10 AND c >= 0.75)
+  SELECT DISTINCT least(a, b) AS anime_a, greatest(a, b) AS anime_b FROM k""",
+    "p3_nearest": f"WITH {_VECTORS} SELECT a AS anime_id, CAST(r AS INTEGER) AS rank, b AS near_id, round(c, 6) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS r FROM s WHERE a % 50 = 0) WHERE r <= 10",
+    "p5_found": """WITH RECURSIVE e AS (SELECT example_id AS id, 'u' || user_id AS u, 'a' || anime_ids[1] AS a FROM llm_prep_train),
+  l AS MATERIALIZED (SELECT u AS a, a AS b FROM e WHERE u IS NOT NULL AND a IS NOT NULL UNION SELECT a, u FROM e WHERE u IS NOT NULL AND a IS NOT NULL),
+  g(k, r) AS (SELECT k, k FROM (SELECT DISTINCT unnest([u, a]) AS k FROM e) WHERE k IS NOT NULL UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.k),
+  m AS (SELECT k, min(r) AS r FROM g GROUP BY 1), x AS (SELECT id, m.r FROM e JOIN m ON m.k = coalesce(e.u, e.a)), y AS (SELECT id, min(id) OVER (PARTITION BY r) AS f FROM x)
+  SELECT f AS example_a, id AS example_b FROM y WHERE id <> f""",
+    "p2_found": f"WITH {_BASKETS} SELECT c.a AS anime_a, c.b AS anime_b {_HITS}",
 }
