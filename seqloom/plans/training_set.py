@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.sampling import numbered, quotas, sample_to_quota
-from seqloom.operators.sequences import STATUSES, histories, known_interactions, liked_items, masked_rows, seeds, user_sequences, users_until_full
+from seqloom.operators.sequences import STATUSES, histories, known_interactions, liked_items, mask_positions, masked_rows, seeds, user_sequences, users_until_full
 from seqloom.operators.tasks import fact_rows, item_facts, liked_rows
-from seqloom.schemas import EXAMPLE
+from seqloom.schemas import EXAMPLE, TABLES
+from seqloom.session import checkpoint
 
 
 @dataclass(frozen=True)
@@ -41,19 +42,23 @@ class PrepSettings:
 
 def pools(interactions: DataFrame, semantic: DataFrame, catalogue: DataFrame, settings: PrepSettings = PrepSettings()) -> dict[str, DataFrame]:
     """Rows of tasks A, B and C before any draw."""
-    facts = item_facts(semantic, catalogue)
-    known = known_interactions(interactions, semantic, settings.statuses)
-    history = histories(known, settings.min_history, settings.max_history)
-    masks = masked_rows(user_sequences(history, semantic, settings.liked_from), settings.mask_modes, settings.seed)
-    wanted = seeds(liked_items(history, known, settings.liked_from))
+    # read by several pools, each of which is counted and drawn from
+    facts = checkpoint(item_facts(semantic, catalogue))
+    known = checkpoint(known_interactions(interactions, semantic, settings.statuses).select(*TABLES["user_anime"].fieldNames()))
+    history = checkpoint(histories(known, settings.min_history, settings.max_history))
+    wanted = checkpoint(seeds(liked_items(history, known, settings.liked_from)))
     if settings.stop_early:
+        # rows per user follow from the length of the history, so no prompt is made for users past the stop
         want = quotas(settings.target_examples, settings.share_a, settings.share_b)
-        made = masks.groupBy("user_id").agg(F.count("*").alias("masks"), F.lit(0).cast("bigint").alias("seeds"))
-        sown = wanted.groupBy("user_id").agg(F.lit(0).cast("bigint").alias("masks"), F.count("*").alias("seeds"))
-        idle = known.select("user_id").distinct().select("user_id", F.lit(0).cast("bigint").alias("masks"), F.lit(0).cast("bigint").alias("seeds"))
-        per_user = made.unionByName(sown).unionByName(idle).groupBy("user_id").agg(F.sum("masks").alias("masks"), F.sum("seeds").alias("seeds"))
-        kept = users_until_full(per_user, 2 * want["B"], 2 * want["C"])
-        masks, wanted = masks.join(kept, "user_id", "left_semi").select(*masks.columns), wanted.join(kept, "user_id", "left_semi").select(*wanted.columns)
+        none = F.lit(0).cast("bigint")
+        made = history.groupBy("user_id").agg(F.max("history_len").alias("n"), F.bool_or("valid").alias("valid"))
+        masks = F.size(mask_positions(F.col("user_id"), F.col("n"), settings.mask_modes, settings.seed)).cast("bigint")
+        made = made.select("user_id", F.when(F.col("valid"), masks).otherwise(none).alias("masks"), none.alias("seeds"))
+        sown = wanted.groupBy("user_id").agg(F.count("*").alias("seeds")).select("user_id", none.alias("masks"), "seeds")
+        per_user = made.unionByName(sown).groupBy("user_id").agg(F.sum("masks").alias("masks"), F.sum("seeds").alias("seeds"))
+        kept = checkpoint(users_until_full(per_user, 2 * want["B"], 2 * want["C"]))
+        history, wanted = history.join(kept, "user_id", "left_semi"), wanted.join(kept, "user_id", "left_semi")
+    masks = masked_rows(user_sequences(history, semantic, settings.liked_from), settings.mask_modes, settings.seed)
     return {"A": fact_rows(facts, settings.max_templates), "B": masks, "C": liked_rows(wanted, facts)}
 
 
