@@ -14,7 +14,7 @@ from seqloom.llm.packing import PackLimits, pack_items
 from seqloom.llm.sentences import split_sentences
 from seqloom.llm.splits import related_groups, split_related
 from seqloom.llm.tokens import with_tokens
-from seqloom.session import table
+from seqloom.session import checkpoint, table
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,7 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and share of every split, overall (task null) and per task."""
-    counts = p5_splits(spark, sf_dir).groupBy("task", "split_name").agg(F.count("*").alias("n"))
+    counts = checkpoint(p5_splits(spark, sf_dir).groupBy("task", "split_name").agg(F.count("*").alias("n")))
     both = counts.unionByName(counts.groupBy("split_name").agg(F.sum("n").alias("n")).select(F.lit("(all)").alias("task"), "split_name", "n"))
     whole = both.groupBy("task").agg(F.sum("n").alias("whole"))
     return both.join(whole, "task").select("task", "split_name", "n", F.round(F.col("n") / F.col("whole"), 6).alias("share"))
