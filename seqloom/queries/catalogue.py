@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seqloom.functions.text import catalogue_text, genre_set, imported_text, leading_themes, nonnegative_int, preferred_title, score, split_list, strict_nonnegative_int, year_text
 from seqloom.operators.instructions import evaluation_texts
 from seqloom.plans.catalogue import CORE, LABELS, UNKNOWN_IS_NULL, prepare_catalogue
-from seqloom.queries.common import PREP, catalogue, collapse, names, one_prep, whole
+from seqloom.queries.common import PREP, catalogue, names, one_prep, whole
 from seqloom.session import table
 
 AT = "2024-01-01T00:00:00+00:00"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seqloom.operators.codebooks import weighted_means
 from seqloom.operators.instructions import domain_rows, general_rows, instruction_text, perplexity
 from seqloom.operators.sampling import held_out, numbered, quotas, running_totals, sample_groups, sample_to_quota, stage_mix
-from seqloom.operators.sequences import histories, known_interactions, liked_items, mask_positions, masked_rows, random_position, scan_statistics, seeds, sentiment, user_sequences, users_until_full
+from seqloom.operators.sequences import histories, known_interactions, liked_items, mask_positions, masked_rows, scan_statistics, seeds, sentiment, user_sequences, users_until_full
 from seqloom.operators.tasks import fact_rows, item_facts, liked_rows, template_counts, year_spread
 from seqloom.plans.training_set import PrepSettings, training_set
 from seqloom.queries.common import PREP, SEM, UA, collapse, interactions, names, one_prep, semantic
