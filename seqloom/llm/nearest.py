@@ -229,7 +229,7 @@ def nearest_classes(classes: DataFrame, k: int, index: CurveIndex) -> DataFrame:
     return _merge(lists, keep)
 
 
-def settle(classes: DataFrame, near: DataFrame, k: int, sure: float, most: int = 200_000) -> DataFrame:
+def settle(classes: DataFrame, near: DataFrame, k: int, sure: float, most: int = 20_000) -> DataFrame:
     """Search all rows, in blocks, for asking classes whose k-th neighbour is below ``sure``.
 
     A curve finds near vectors; a vector without near ones has its neighbours

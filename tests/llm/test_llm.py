@@ -73,6 +73,13 @@ def test_clusters_of_nothing_and_of_copies(spark):
     assert {r["cluster"] for r in clusters.similar_groups(same).collect()} == {1}
 
 
+def test_a_hot_cell_of_rows_that_hardly_differ(spark):
+    x = blobs(7)[0] + np.random.default_rng(1).normal(size=(500, 32)) * 1e-6
+    settings = clusters.ClusterSettings(hot_rows=120)
+    got = {r["cluster"] for r in clusters.similar_groups(frame(spark, x / np.linalg.norm(x, axis=1)[:, None]), settings).collect()}
+    assert got == {1}
+
+
 def test_ward_joins_near_leaves():
     c = np.array([[0.0, 0], [0.1, 0], [5, 5], [5.1, 5], [-9, 0]])
     of = clusters.ward(np.ones(5), c, 3)
