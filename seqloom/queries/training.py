@@ -10,6 +10,7 @@ from seqloom.operators.instructions import domain_rows, general_rows, instructio
 from seqloom.operators.sampling import held_out, numbered, quotas, running_totals, sample_groups, sample_to_quota, stage_mix
 from seqloom.operators.sequences import histories, known_interactions, liked_items, mask_positions, masked_rows, scan_statistics, seeds, sentiment, user_sequences, users_until_full
 from seqloom.operators.tasks import fact_rows, item_facts, liked_rows, template_counts, year_spread
+from seqloom.plans.runs import training_summary
 from seqloom.plans.training_set import PrepSettings, training_set
 from seqloom.queries.common import PREP, SEM, UA, collapse, interactions, names, one_prep, semantic
 from seqloom.session import table
@@ -164,6 +165,10 @@ def assembled(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("task").agg(F.count("*").alias("n"), F.count_distinct("example_id").alias("ids"))
 
 
+def example_summary(spark: SparkSession, d: str) -> DataFrame:
+    return training_summary(table(spark, d, "llm_prep_train"))
+
+
 def epoch_means(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select(F.col("l_quantity").alias("w"), F.col("l_discount").alias("loss"), F.col("l_tax").alias("commit"))
     return weighted_means(rows, "w", ["loss", "commit"]).select("weight", F.round("loss", 9).alias("loss"), F.round("commit", 9).alias("commit"))
@@ -222,7 +227,7 @@ QUERIES = {
     "task_c_seeds": seed_kinds, "task_c_single": task_c_single, "task_c_triple": task_c_triple, "year_spread": spread, "task_a_templates": task_a, "template_counts": task_a_counts,
     "scan_stats": scan_stats, "early_stop_users": early_stop, "running_totals": running, "quota_sample": quota_sample, "oversample_cycles": oversample, "train_eval_split": train_eval,
     "example_ids": example_ids, "domain_rows": domain_counts, "stage_mix": mixed_stage, "group_quotas": group_quotas, "prompt_response": question_answers, "instruction_format": instruction_format,
-    "quota_table": quota_table, "training_set": assembled, "epoch_means": epoch_means, "perplexity": loss_perplexity,
+    "quota_table": quota_table, "training_set": assembled, "example_summary": example_summary, "epoch_means": epoch_means, "perplexity": loss_perplexity,
 }
 ORACLES = {
     "user_history_topn": f"WITH {_HI} SELECT user_id, pos, anime_id, history_len FROM hi WHERE total >= 4",
@@ -250,6 +255,8 @@ ORACLES = {
     "instruction_format": "SELECT example_id, '<|system|>' || chr(10) || 'You are a helpful assistant.' || chr(10) || '<|user|>' || chr(10) || input || chr(10) || '<|assistant|>' || chr(10) || output AS text FROM llm_prep_train WHERE input IS NOT NULL AND output IS NOT NULL",
     "quota_table": "SELECT CAST(t AS BIGINT) AS target, CAST(round_even(t * 0.5, 0) AS BIGINT) AS a, CAST(round_even(t * 0.25, 0) AS BIGINT) AS b, CAST(t - round_even(t * 0.5, 0) - round_even(t * 0.25, 0) AS BIGINT) AS c FROM (VALUES (1), (2), (3), (5), (6), (10), (11), (399999), (400000)) v(t)",
     "training_set": "SELECT * FROM (VALUES ('A', CAST(2000 AS BIGINT), CAST(2000 AS BIGINT)), ('B', 1000, 1000), ('C', 1000, 1000)) v(task, n, ids)",
+    "example_summary": """SELECT count(*) AS examples, CAST(count_if(task = 'A') AS BIGINT) AS task_a, CAST(count_if(task = 'B') AS BIGINT) AS task_b, CAST(count_if(task = 'C') AS BIGINT) AS task_c,
+      count(DISTINCT user_id) AS users, CAST(count_if(len(anime_ids) > 1) AS BIGINT) AS with_several_titles, round(avg(length(input)), 6) AS mean_input, round(avg(length(output)), 6) AS mean_output FROM llm_prep_train""",
     "epoch_means": "SELECT CAST(sum(l_quantity) AS DOUBLE) AS weight, round(sum(l_discount * l_quantity) / sum(l_quantity), 9) AS loss, round(sum(l_tax * l_quantity) / sum(l_quantity), 9) AS commit FROM lineitem",
     "perplexity": "SELECT round(exp(least(avg(l_discount * 10), 20)), 6) AS perplexity FROM lineitem",
 }

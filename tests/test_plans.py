@@ -6,6 +6,7 @@ from seqloom import config
 from seqloom.operators import codebooks, instructions, neighbours, sampling, sequences
 from seqloom.operators.validation import checked_vectors, invalid_vectors, require_rows
 from seqloom.plans.catalogue import prepare_catalogue
+from seqloom.plans import runs
 from seqloom.plans.embed import HashingBackend, embed_texts
 from seqloom.plans.tokenise import evaluate_recall
 from seqloom.plans.training_set import PrepSettings, pools, training_set
@@ -197,3 +198,20 @@ def test_config(tmp_path):
     (tmp_path / ".env").write_text("# x\nexport TOKEN='abc'\n")
     assert config.secret("", "TOKEN", tmp_path / ".env") == "abc" and config.secret(" d ", "TOKEN") == "d"
     assert config.resolve(file, "../x") == (tmp_path.parent / "x").resolve()
+
+
+def test_runs(spark, tmp_path):
+    path, made = str(tmp_path / "t"), []
+
+    def build(n):
+        made.append(n)
+        return spark.range(n)
+
+    assert runs.built(spark, path, lambda: build(0), False).count() == 0
+    assert runs.built(spark, path, lambda: build(3), False).count() == 3  # an empty table is built again
+    assert runs.built(spark, path, lambda: build(5), False).count() == 3
+    assert runs.built(spark, path, lambda: build(4), True).count() == 4 and made == [0, 3, 4]
+    assert runs.dry_stage(config.StageSettings(max_domain_rows=0), 50).max_domain_rows == 50
+    assert runs.dry_stage(config.StageSettings(max_domain_rows=9), 50).max_domain_rows == 9
+    assert [runs.dry_limit(*x) for x in ((0, 1), (5, 10), (0, 10))] == [2, 5, 10]
+    assert instructions.evaluation_texts(runs.evaluation_defaults(spark), 10).count() == 4
