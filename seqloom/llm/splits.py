@@ -106,8 +106,8 @@ def running_sum(df: DataFrame, group: Sequence[str], order: Column, tie: str, va
 def deal_groups(rows: DataFrame, task: Column, targets: Sequence[tuple[str, float]], seed: int = 42) -> DataFrame:
     """(root, split_name): a split for every group, shares kept overall and per task.
 
-    A group as large as a twentieth of the smallest split (there are at most
-    20 / share of those) goes, largest first, to the split that it overfills least and that lacks its tasks most.
+    A group as large as a two-hundredth of the smallest split (there are at most
+    200 / share of those) goes, largest first, to the split that it overfills least and that lacks its tasks most.
     The others are dealt along one chain for each commonest task, size band by size
     band, by what each split still lacks of that task, one task after the other (there
     must be few). Fewer groups than splits leave splits empty.
@@ -122,7 +122,7 @@ def deal_groups(rows: DataFrame, task: Column, targets: Sequence[tuple[str, floa
     all_tasks = {r["task"]: r["n"] for r in counted.groupBy("task").agg(F.sum("n").alias("n")).collect()}
     total = sum(all_tasks.values())
     lacks = {(s, t): share * n for s, share in shares.items() for t, n in all_tasks.items()}
-    bound = max(2.0, total * least / 20)
+    bound = max(2.0, total * least / 200)
     fixed: list[tuple[str, str]] = []
     for r in groups.where(F.col("size") >= bound).orderBy(F.desc("size"), "root").collect():
         own = r["by_task"]
