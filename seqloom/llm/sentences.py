@@ -45,8 +45,18 @@ PAUSE = (
     "그러나", "그런데", "하지만", "그리고", "पर ", "लेकिन", "मगर", "किंतु", "और ", "مگر", "لیکن", "اور ", "لكن", "ولكن", "ثم ", "แต่",
 )
 
-_WIDE = "。！？｡．♪"  # ends a sentence without a blank behind it
-_UNSPACED = "।॥۔؟።"
+_ALL = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+# The characters of the Sentence_Break property, of all scripts.
+_STERM = "".join(regex.findall(r"\p{Sentence_Break=STerm}", _ALL))
+_ATERM = "".join(regex.findall(r"\p{Sentence_Break=ATerm}", _ALL))
+# Closing signs; quotation marks, which open or close, are matched apart.
+_CLOSE = "".join(regex.findall(r"(?=\p{Sentence_Break=Close})\p{Pe}", _ALL))
+_CONTINUE = "".join(c for c in regex.findall(r"\p{Sentence_Break=SContinue}", _ALL) if not regex.match(r"\p{Pd}", c))
+_ASKING = "!?‼‽⁇⁈⁉⸮"  # case and blanks behind them decide, as in the scripts with case
+# Ends a sentence without a blank behind it.
+_WIDE = "".join(c for c in _STERM if c not in _ASKING) + "．♪"
+_ENDS = _STERM + _ATERM + "…♪"
+_FOLLOWS = _CONTINUE + _CLOSE + ",，、،;；:：)）]】»」』》%/"  # never the first sign of a sentence
 _EMOTE = r"(?:\^\^|\^_\^|T_T|xD\b|<3|[:;=]-?[)(DPp]+(?!\w)|[\U0001F300-\U0001FAFF☀-♩♫-➿]️?)"
 
 _PARAGRAPH = regex.compile(r"\r?\n[^\S\n]*(?:\r?\n\s*)|[\v\f\x1c-\x1e ]\s*")
@@ -56,9 +66,9 @@ _LABEL = regex.compile(r"(?:[\p{Lu}][\p{Lu}\p{M}'’.\-]*(?:[ ][\p{Lu}][\p{Lu}\p
 _RECORD = regex.compile(r"(?:\p{Lu}[\p{L} ]{0,30}: [^;\n]*;\s+){2,}\p{Lu}[\p{L} ]{0,30}: ")
 _THAI = r"ก-ฺเ-๎"
 _TOKEN = regex.compile(
-    rf"(?P<end>[.!?…{_WIDE}{_UNSPACED};;]+)|(?P<open>[\"“”„«»「『《‘'])|(?P<thai>(?<=[{_THAI}])(?<!ๆ)\s+(?=[^\s\d\p{{Latin}}.,;:!?…)\]}}^]))"
+    rf"(?P<end>[{regex.escape(_ENDS)};;]+)|(?P<open>[\"“”„«»「『《‘'])|(?P<thai>(?<=[{_THAI}])(?<!ๆ)\s+(?=[^\s\d\p{{Latin}}.,;:!?…)\]}}^]))"
 )
-_AFTER = regex.compile(rf"(?P<close>(?:\s?(?<=\s)[»“”](?!\w)|[」』》〉）)\]】]|[\"'”’“»«›‹](?![\p{{L}}¿¡…]))*)(?P<emote>(?:[^\S\n]?{_EMOTE})*)(?P<gap>\s*)")
+_AFTER = regex.compile(rf"(?P<close>(?:\s?(?<=\s)[»“”](?!\w)|[{regex.escape(_CLOSE)}]|[\"'”’“»«›‹](?![\p{{L}}¿¡…]))*)(?P<emote>(?:[^\S\n]?{_EMOTE})*)(?P<gap>\s*)")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}№.'’\-]+$")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー々〆〜]")
 _CASELESS = regex.compile(r"[\p{Lo}\p{M}]")
@@ -73,8 +83,8 @@ def _closing(text: str, at: int, stop: int) -> int:
     behind = text[at + 1] if at + 1 < stop else " "
     wide = sign in "「『《"
     if not wide:
-        free = before.isspace() or before in "([（「『:：—–-¿¡,،" or _CASELESS.match(before) or before in _WIDE + _UNSPACED + ".!?…）』」》”^😊"
-        if sign in "\"'" and not (free or before in ".!?…)"):
+        free = before.isspace() or before in "([（「『:：—–-¿¡,،" or _CASELESS.match(before) or before in _ENDS + "）』」》”^😊"
+        if sign in "\"'" and not (free or before in _ENDS + ")"):
             return -1
         if sign == "'" and (before.isalnum() or not (behind.isalpha() or behind in ".¿¡…")):
             return -1
@@ -186,7 +196,7 @@ def _end(text: str, start: int, at: int, stop: int) -> int:
             while inner > token.start() and text[inner].isspace():
                 inner -= 1
             i = close + 1
-            if text[inner] not in ".!?…;;" + _WIDE + _UNSPACED or text[close] == "》" or text[inner] == ";":
+            if text[inner] not in ";;" + _ENDS or text[close] == "》" or text[inner] == ";":
                 continue
             if token.start() <= opening or text[opening : token.start()].strip(" ([（") == "":
                 # speech opens the sentence: the words about the speaker follow
@@ -200,7 +210,7 @@ def _end(text: str, start: int, at: int, stop: int) -> int:
             if set(run) <= {";", ";"} and not (run == ";" or regex.search(r"\p{Greek}", text[max(start, token.start() - 6) : token.start()])):
                 continue
             after = _AFTER.match(text, i, stop)
-            if mark == "." and len(run) == 1 and not after["close"] and not after["emote"] and _abbreviation(text, start, token.start(), after.end(), stop):
+            if mark in _ATERM and len(run) == 1 and not after["close"] and not after["emote"] and _abbreviation(text, start, token.start(), after.end(), stop):
                 continue
         if _ends(text, mark, token, after, stop):
             return after.start("gap")
@@ -216,14 +226,16 @@ def _ends(text: str, mark: str, token: regex.Match, after: regex.Match, stop: in
     c, d = text[nxt], text[nxt + 1] if nxt + 1 < stop else " "
     before = text[token.start() - 1] if token.start() else " "
     gap = bool(after["gap"])
-    if c in ",，、،;；:：)）]】»」』》%/" and not (c == "»" and d.isalpha()):
+    if c in _FOLLOWS and not (c == "»" and d.isalpha()):
         return False
     ellipsis = mark == "…" or token.lastgroup == "end" and token["end"].endswith("...")
     if ellipsis and not after["close"] and text.startswith(PAUSE, nxt):
         return False
     if after["close"] and c in _PARTICLE and not gap or c in "―":
         return False
-    wide = mark in _WIDE + _UNSPACED or bool(_CJK.match(before)) and mark in "!?…"
+    wide = mark in _WIDE or bool(_CJK.match(before)) and mark in _ASKING + "…"
+    if mark in _ATERM and not gap and before.isdigit() and c.isdigit():
+        return False
     if wide:
         return not (after["close"] and c.islower() and d.islower())
     if c.islower() and not d.isupper():
@@ -236,12 +248,12 @@ def _ends(text: str, mark: str, token: regex.Match, after: regex.Match, stop: in
         if c.isdigit() or c in "._/@#&=+*'’":
             return False
         if _CASELESS.match(c):
-            return mark != "." or not before.isdigit()
+            return mark not in _ATERM or not before.isdigit()
         if c.isupper():
             word = _last_word(text, max(0, token.start() - 40), token.start())
             if after["close"]:
                 return True
-            return mark in "!?…" or before.isdigit() is False and len(word) > 1 and d.islower() and "." not in word and "www" not in word
+            return mark in _ASKING + "…" or before.isdigit() is False and len(word) > 1 and d.islower() and "." not in word and "www" not in word
         return c in "\"“„«「『《(（¿¡—'‘”»"
     return True
 

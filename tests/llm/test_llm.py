@@ -406,6 +406,33 @@ def test_layout(text, want):
     assert [text[a:b] for a, b in sentence_spans(text)] == want
 
 
+@pytest.mark.parametrize("sentences", [
+    ["Ես գալիս եմ։", "Նա գնաց։"], ["ខ្ញុំ​មក។", "គាត់​ទៅ៕"], ["မင်္ဂလာပါ။", "သူသွားသည်၊ ငါလာသည်။"], ["ሰላም ነው፧", "አዎ።"],
+    ["ᠮᠣᠩᠭᠣᠯ᠃", "ᠪᠢᠴᠢᠭ᠃"], ["ܫܠܡܐ܀", "ܐܢܐ܂"], ["What‼ he said.", "Really⁇", "Yes⁈"], ["One﹒", "Two}"], ["ខ្ញុំ។}", "គាត់។"],
+])
+def test_sentences_of_scripts_outside_the_data(sentences):
+    text = " ".join(sentences)
+    got, at = sentence_spans(text), 0
+    # a comma-like mark with STerm (Myanmar) may divide further, never less
+    ends = {b for _, b in got}
+    for x in sentences:
+        at = text.index(x, at) + len(x)
+        assert at in ends
+
+
+def test_every_terminator_of_the_standard_ends_a_sentence():
+    import sys
+
+    import regex
+
+    marks = regex.findall(r"\p{Sentence_Break=STerm}", "".join(chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000))
+    assert len(marks) >= 150
+    for c in marks:
+        assert len(sentence_spans(f"កខគ{c} គឃង{c}")) == 2, hex(ord(c))
+        assert len(sentence_spans(f"កខគ{c}{c}) គឃង{c}")) == 2, hex(ord(c))
+    assert len(sentence_spans("版本3．5发布。")) == 1
+
+
 def test_every_character_is_covered_once(spark):
     random.seed(0)
     signs = list("aA 1.!?…。！\"“”«»'()（）「」\n-—:;,^😊กบ ぁ漢") + ["\n\n", "Mr. ", "z. B. "]
