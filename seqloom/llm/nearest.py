@@ -5,6 +5,8 @@ their leading principal components and each time put in the order of a shifted
 Hilbert curve. Spark range-partitions by the curve's key; a window slides over
 each sorted partition and compares every vector with those nearby in the order.
 The lists that the curves give are merged and ranked again by the exact cosine.
+Rows of one key have no order on the curve and may hardly differ; where they are
+more than a list holds, all of them are compared with each other in double precision.
 
 Equal vectors are one class: they get one key, and no class is longer than its
 first k + 1 members in the lists, so that copies cannot fill a window.
@@ -29,7 +31,8 @@ class CurveIndex:
 
     ``sample``: rows the principal components are fitted on, the only bound on rows;
     every row is put on every curve. ``window``: rows before and after that each row
-    is compared with on each curve.
+    is compared with on each curve. ``block``: rows of a long run of one key that are
+    compared at a time; the run itself may be of any length.
     """
 
     curves: int = 8
@@ -40,6 +43,7 @@ class CurveIndex:
     sample: int = 5000
     spare: int = 6
     seed: int = 42
+    block: int = 16_384
 
 
 def usable_vectors(df: DataFrame, key: str, vector: str, dim: int, order: Column, where: Column) -> DataFrame:
@@ -148,6 +152,41 @@ def _top(sims: np.ndarray, keep: int) -> np.ndarray:
     return np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
 
 
+def _cosines(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Cosine of row i of ``own`` and every ``others[i]``; lengths are divided out again, as single precision moves them by 1e-8."""
+    a, b = own.astype(np.float64), others.astype(np.float64)
+    return np.einsum("ij,ikj->ik", a, b) / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=2))
+
+
+def _best(own_ids: np.ndarray, own: np.ndarray, ids: np.ndarray, rows: np.ndarray, keep: int, fine: bool = False) -> pa.RecordBatch:
+    """(id, other, sim): the ``keep`` most similar of ``rows`` to each of ``own``, itself left out.
+
+    ``fine``: chosen in double precision at twelve digits, equal ones by smaller id,
+    as rows that hardly differ need.
+    """
+    if fine:
+        unit = rows.astype(np.float64)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        place = np.argsort(np.argsort(ids))
+    out, step = [], 256 if fine else 512
+    for s in range(0, len(own), step):
+        part, part_ids = own[s : s + step], own_ids[s : s + step]
+        same = part_ids[:, None] == ids[None, :]
+        if fine:
+            mine = part.astype(np.float64)
+            far = np.rint((1 - (mine / np.linalg.norm(mine, axis=1, keepdims=True)) @ unit.T) * 1e12).astype(np.int64) * len(ids) + place
+            far[same] = np.iinfo(np.int64).max
+            top = np.argpartition(far, keep - 1, axis=1)[:, :keep] if far.shape[1] > keep else np.argsort(far, axis=1)
+        else:
+            sims = part @ rows.T
+            sims[same] = -2
+            top = _top(sims, keep)
+        at, slot = np.nonzero(~np.take_along_axis(same, top, 1))
+        out.append((part_ids[at], ids[top[at, slot]], _cosines(part, rows[top])[at, slot]))
+    a, b, c = (np.concatenate(x) for x in zip(*out, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c)], names=["id", "other", "sim"])
+
+
 def _windows(index: CurveIndex, keep: int):
     """Slide over a sorted partition; each row meets the ``window`` rows before and after it at least."""
 
@@ -171,18 +210,7 @@ def _windows(index: CurveIndex, keep: int):
                 return None
             ids = np.concatenate([p[0] for p in parts])
             rows = np.concatenate([p[1] for p in parts])
-            out = []
-            for s in range(0, len(asked), 512):
-                own, own_ids = mine[1][asked[s : s + 512]], mine[0][asked[s : s + 512]]
-                sims = own @ rows.T
-                sims[own_ids[:, None] == ids[None, :]] = -2
-                top = _top(sims, keep)
-                exact = np.einsum("ij,ikj->ik", own.astype(np.float64), rows[top].astype(np.float64))
-                there = np.take_along_axis(sims, top, 1) > -2
-                at, slot = np.nonzero(there)
-                out.append((own_ids[at], ids[top[at, slot]], exact[at, slot]))
-            a, b, c = (np.concatenate(x) for x in zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c)], names=["id", "other", "sim"])
+            return _best(mine[0][asked], mine[1][asked], ids, rows, keep)
 
         before = mine = None
         for after in blocks():
@@ -195,6 +223,42 @@ def _windows(index: CurveIndex, keep: int):
     return run
 
 
+def _long_runs(rows: DataFrame, projections: list[_Projection], index: CurveIndex, keep: int) -> DataFrame | None:
+    """(id, other, sim) within the runs of more than ``keep`` rows of one key, every row with every other.
+
+    A run is cut into blocks by hash, and each pair of blocks is one group, so that no
+    task holds more than about two blocks; the work is quadratic in the run. None if
+    no run is that long.
+    """
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch["vec"]).astype(np.float64)
+            for curve, projection in enumerate(projections):
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([batch["id"], pa.array(np.full(n, curve, np.int32)), pa.array(projection.keys(x, index.bits))], names=["id", "curve", "key"])
+
+    places = rows.select("id", "vec").mapInArrow(keyed, "id long, curve int, key long")
+    runs = checkpoint(places.groupBy("curve", "key").agg(F.count("*").alias("n")).where(F.col("n") > keep))
+    if runs.isEmpty():
+        return None
+    parts = F.ceil(F.col("n") / F.lit(index.block)).cast("int")
+    inside = places.join(runs, ["curve", "key"]).join(rows, "id").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    one = ["id", "vec", "curve", "key"]
+    asking = inside.where("ask").select(*one, F.col("part").alias("a"), F.explode(every).alias("b"), F.lit(True).alias("asks"))
+    asked = inside.select(*one, F.explode(every).alias("a"), F.col("part").alias("b"), F.lit(False).alias("asks"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        asks = np.asarray(group["asks"])
+        ids, x = group["id"].to_numpy(), matrix(group["vec"])
+        if not asks.any() or asks.all():
+            return pa.table({"id": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
+        return pa.Table.from_batches([_best(ids[asks], x[asks], ids[~asks], x[~asks], keep, fine=True)])
+
+    return asking.unionByName(asked).groupBy("curve", "key", "a", "b").applyInArrow(compare, "id long, other long, sim double")
+
+
 def _merge(found: DataFrame, keep: int) -> DataFrame:
     """(id, near): the best ``keep`` of the lists of one id, equal similarity by smaller id."""
     best = F.array_sort(F.collect_set(F.struct((-F.round("sim", 12)).alias("d"), "other")))
@@ -213,7 +277,7 @@ def nearest_classes(classes: DataFrame, k: int, index: CurveIndex) -> DataFrame:
     rows = classes.select("id", "vec", "ask")
     keep = k + index.spare
     lists = None
-    for projection in projections:
+    for number, projection in enumerate(projections):
 
         def keyed(batches: Iterator[pa.RecordBatch], projection: _Projection = projection) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -221,11 +285,15 @@ def nearest_classes(classes: DataFrame, k: int, index: CurveIndex) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], names=["id", "vec", "ask", "key"])
 
         curve = rows.mapInArrow(keyed, "id long, vec array<float>, ask boolean, key long")
-        ordered = curve.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
+        # rows of one key in another order on every curve
+        curve = curve.withColumn("tie", F.xxhash64(F.lit(number), "id"))
+        ordered = curve.repartitionByRange(parts, "key", "tie").sortWithinPartitions("key", "tie")
         found = ordered.mapInArrow(_windows(index, keep), "id long, other long, sim double")
         lists = found if lists is None else lists.unionByName(found)
     if lists is None:
         return spark.createDataFrame([], "id long, near array<struct<d: double, other: long>>")
+    if (whole := _long_runs(rows, projections, index, keep)) is not None:
+        lists = lists.unionByName(whole)
     return _merge(lists, keep)
 
 
@@ -256,7 +324,7 @@ def settle(classes: DataFrame, near: DataFrame, k: int, sure: float, most: int =
                     sims = mine @ block.T
                     sims[own_ids[s : s + 1024, None] == ids[None, :]] = -2
                     top = _top(sims, k)
-                    exact = np.einsum("ij,ikj->ik", mine.astype(np.float64), block[top].astype(np.float64))
+                    exact = _cosines(mine, block[top])
                     at, slot = np.nonzero(np.take_along_axis(sims, top, 1) > -2)
                     yield pa.RecordBatch.from_arrays([pa.array(own_ids[s : s + 1024][at]), pa.array(ids[top[at, slot]]), pa.array(exact[at, slot])], names=["id", "other", "sim"])
 

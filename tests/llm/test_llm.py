@@ -123,6 +123,22 @@ def test_nearest_recall_of_queries_with_small_windows(spark):
     assert {r["id"] for r in found} == set(asked) and hits >= 0.9 * 10 * len(asked)
 
 
+@pytest.mark.parametrize("block", [16_384, 300])
+def test_nearest_within_a_third_of_rows_that_hardly_differ(spark, block):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1800, 32))
+    x[::3] = (x[0] + 1e-4 * rng.standard_normal((600, 32))) * rng.uniform(0.5, 2, (600, 1))  # rescaled, not equal in their bits
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    found = nearest.nearest_neighbours(frame(spark, x), 10, nearest.CurveIndex(window=40, block=block)).collect()
+    want = brute_nearest(x, 10)
+    got = defaultdict(set)
+    for r in found:
+        got[r["id"]].add(r["other"])
+    dense = range(1, 1801, 3)
+    assert all(len(got[i]) == 10 and i not in got[i] for i in dense)
+    assert sum(len(got[i] & set(want[i])) for i in dense) >= 0.98 * 10 * len(dense)
+
+
 def test_nearest_of_many_copies_and_of_few_rows(spark):
     x = np.vstack([np.tile(blobs(7)[0], (30, 1)), blobs(20, seed=4)])
     got = defaultdict(list)
