@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.operators.codebooks import weighted_means
@@ -11,7 +11,7 @@ from seqloom.operators.sampling import held_out, numbered, quotas, running_total
 from seqloom.operators.sequences import histories, known_interactions, liked_items, mask_positions, masked_rows, scan_statistics, seeds, sentiment, user_sequences, users_until_full
 from seqloom.operators.tasks import fact_rows, item_facts, liked_rows, template_counts, year_spread
 from seqloom.plans.runs import training_summary
-from seqloom.plans.training_set import PrepSettings, training_set
+from seqloom.plans.training_set import PrepSettings, pools, training_set
 from seqloom.queries.common import PREP, SEM, UA, collapse, interactions, names, one_prep, semantic
 from seqloom.session import table
 
@@ -165,6 +165,24 @@ def assembled(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("task").agg(F.count("*").alias("n"), F.count_distinct("example_id").alias("ids"))
 
 
+def _sums() -> list[Column]:
+    return [F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.sum(F.length("input")).alias("chars_in"), F.sum(F.length("output")).alias("chars_out")]
+
+
+def pool_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, users and characters of each task over all users, before any draw."""
+    made = pools(interactions(spark, d), semantic(spark, d), one_prep(spark, d)).values()
+    a, b, c = (p.select("task", "user_id", "input", "output") for p in made)
+    rows = a.unionByName(b).unionByName(c)
+    return rows.groupBy("task").agg(*_sums())
+
+
+def assembled_full(spark: SparkSession, d: str) -> DataFrame:
+    """The training set of a full run, drawn from all users: rows, ids, users and characters of each task."""
+    rows = training_set(interactions(spark, d), semantic(spark, d), one_prep(spark, d))
+    return rows.groupBy("task").agg(*_sums(), F.count_distinct("example_id").alias("ids"))
+
+
 def example_summary(spark: SparkSession, d: str) -> DataFrame:
     return training_summary(table(spark, d, "llm_prep_train"))
 
@@ -222,12 +240,20 @@ _A = f"""ta AS (SELECT fa.*, semantic_id AS s, coalesce(nullif(english_name, '')
 _PU = f"{UA}, pu AS (SELECT user_id, CASE WHEN count(*) >= 4 THEN 2 ELSE 0 END AS masks, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS seeds FROM ua GROUP BY 1)"
 _MD = "md5('{seed}' || chr(31) || {k})"
 
+_PO = f"""po AS (SELECT 'A' AS task, CAST(NULL AS BIGINT) AS user_id, {collapse('x.i')} AS input, {collapse('x.o')} AS output FROM (WITH {SEM}, {_FACT}, {_A.replace("{most}", "12")} SELECT x FROM tb)
+  UNION ALL SELECT 'B', user_id, input, output FROM (WITH {_LAST} SELECT user_id, input, output FROM pr) UNION ALL SELECT 'B', user_id, input, output FROM (WITH {_RND} SELECT user_id, input, output FROM pr)
+  UNION ALL SELECT 'C', user_id, input, output FROM ({_SINGLE}) UNION ALL SELECT 'C', user_id, input, output FROM ({_TRIPLE}))"""
+# whole cycles of a pool that is too small, and a seeded draw of the rest
+_DRAWN = _PO + """, si AS (SELECT task, count(*) AS m, CASE task WHEN 'A' THEN 200000 ELSE 100000 END AS q FROM po GROUP BY 1),
+  us AS (SELECT *, q // m + CASE WHEN row_number() OVER (PARTITION BY task ORDER BY md5(CAST(42 + q // m AS VARCHAR) || chr(31) || task || chr(31) || input || chr(31) || output || chr(31) || coalesce(CAST(user_id AS VARCHAR), ''))) <= q % m THEN 1 ELSE 0 END AS uses
+    FROM po JOIN si USING (task))"""
+
 QUERIES = {
     "user_history_topn": user_history, "sentiment_label": sentiments, "mask_last": mask_last, "mask_random_hash": mask_random, "mask_positions": mask_both, "liked_top3": liked_top3,
     "task_c_seeds": seed_kinds, "task_c_single": task_c_single, "task_c_triple": task_c_triple, "year_spread": spread, "task_a_templates": task_a, "template_counts": task_a_counts,
     "scan_stats": scan_stats, "early_stop_users": early_stop, "running_totals": running, "quota_sample": quota_sample, "oversample_cycles": oversample, "train_eval_split": train_eval,
     "example_ids": example_ids, "domain_rows": domain_counts, "stage_mix": mixed_stage, "group_quotas": group_quotas, "prompt_response": question_answers, "instruction_format": instruction_format,
-    "quota_table": quota_table, "training_set": assembled, "example_summary": example_summary, "epoch_means": epoch_means, "perplexity": loss_perplexity,
+    "quota_table": quota_table, "training_set": assembled, "training_pools": pool_sizes, "training_set_full": assembled_full, "example_summary": example_summary, "epoch_means": epoch_means, "perplexity": loss_perplexity,
 }
 ORACLES = {
     "user_history_topn": f"WITH {_HI} SELECT user_id, pos, anime_id, history_len FROM hi WHERE total >= 4",
@@ -255,6 +281,8 @@ ORACLES = {
     "instruction_format": "SELECT example_id, '<|system|>' || chr(10) || 'You are a helpful assistant.' || chr(10) || '<|user|>' || chr(10) || input || chr(10) || '<|assistant|>' || chr(10) || output AS text FROM llm_prep_train WHERE input IS NOT NULL AND output IS NOT NULL",
     "quota_table": "SELECT CAST(t AS BIGINT) AS target, CAST(round_even(t * 0.5, 0) AS BIGINT) AS a, CAST(round_even(t * 0.25, 0) AS BIGINT) AS b, CAST(t - round_even(t * 0.5, 0) - round_even(t * 0.25, 0) AS BIGINT) AS c FROM (VALUES (1), (2), (3), (5), (6), (10), (11), (399999), (400000)) v(t)",
     "training_set": "SELECT * FROM (VALUES ('A', CAST(2000 AS BIGINT), CAST(2000 AS BIGINT)), ('B', 1000, 1000), ('C', 1000, 1000)) v(task, n, ids)",
+    "training_pools": f"WITH {_PO} SELECT task, count(*) AS n, count(DISTINCT user_id) AS users, CAST(sum(length(input)) AS BIGINT) AS chars_in, CAST(sum(length(output)) AS BIGINT) AS chars_out FROM po GROUP BY 1",
+    "training_set_full": f"WITH {_DRAWN} SELECT task, CAST(sum(uses) AS BIGINT) AS n, count(DISTINCT user_id) AS users, CAST(sum(uses * length(input)) AS BIGINT) AS chars_in, CAST(sum(uses * length(output)) AS BIGINT) AS chars_out, CAST(sum(uses) AS BIGINT) AS ids FROM us WHERE uses > 0 GROUP BY 1",
     "example_summary": """SELECT count(*) AS examples, CAST(count_if(task = 'A') AS BIGINT) AS task_a, CAST(count_if(task = 'B') AS BIGINT) AS task_b, CAST(count_if(task = 'C') AS BIGINT) AS task_c,
       count(DISTINCT user_id) AS users, CAST(count_if(len(anime_ids) > 1) AS BIGINT) AS with_several_titles, round(avg(length(input)), 6) AS mean_input, round(avg(length(output)), 6) AS mean_output FROM llm_prep_train""",
     "epoch_means": "SELECT CAST(sum(l_quantity) AS DOUBLE) AS weight, round(sum(l_discount * l_quantity) / sum(l_quantity), 9) AS loss, round(sum(l_tax * l_quantity) / sum(l_quantity), 9) AS commit FROM lineitem",

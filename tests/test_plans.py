@@ -215,3 +215,20 @@ def test_runs(spark, tmp_path):
     assert runs.dry_stage(config.StageSettings(max_domain_rows=9), 50).max_domain_rows == 9
     assert [runs.dry_limit(*x) for x in ((0, 1), (5, 10), (0, 10))] == [2, 5, 10]
     assert instructions.evaluation_texts(runs.evaluation_defaults(spark), 10).count() == 4
+
+
+@pytest.mark.parametrize("name", ["training_pools", "training_set_full"])
+def test_training_set_of_all_users_equals_sql(spark, rows, name):
+    import os
+
+    import __spark_entry__ as entry
+    import duckdb
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    for f in os.listdir(d):
+        path = f"{d}/{f}" + ("/*.parquet" if os.path.isdir(f"{d}/{f}") else "")
+        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{path}')")
+    assert rows(entry.queries()[name](spark, d)) == sorted(con.execute(entry.oracle_sql()[name]).fetchall(), key=repr)
