@@ -132,6 +132,12 @@ def named_embeddings(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("anime_id", "name", "english_name").agg(F.count("*").alias("n"))
 
 
+def named_embeddings_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every embedding of every model with the names of its title, counted by model."""
+    rows = embeddings_with_names(table(spark, d, "anime_embeddings"), one_prep(spark, d))
+    return rows.groupBy("anime_id", "model_name", "name", "english_name", "genres").agg(F.count("*").alias("n"))
+
+
 def metadata(spark: SparkSession, d: str) -> DataFrame:
     return metadata_rows(one_prep(spark, d), codes(spark, d)).select("anime_id", "name", "type", "source")
 
@@ -186,7 +192,7 @@ QUERIES = {
     "positive_edges": edges, "item_support": support, "cooccurrence": cooccurrence, "proxy_neighbors": proxy, "hamming_topk": hamming, "recall_at_k": recall, "recall_report": report,
     "recall_examples": examples, "semantic_ids": made_ids, "token_counts": counts, "vocab": vocab, "parsed_tokens": parsed, "prefix_depth": prefixes, "cluster_buckets": buckets,
     "bucket_purity": purity, "code_usage_perplexity": usage, "code_histogram": histogram, "vector_norm": vector_norm, "faulty_vectors": faulty_vectors, "dimension_range": dimensions,
-    "named_embeddings": named_embeddings, "metadata": metadata, "shared_semantic_ids": shared_ids, "code_means": code_means, "residual_training": residual_training, "embedded_texts": embedded_texts, "ridge_fit": ridge,
+    "named_embeddings": named_embeddings, "named_embeddings_all": named_embeddings_all, "metadata": metadata, "shared_semantic_ids": shared_ids, "code_means": code_means, "residual_training": residual_training, "embedded_texts": embedded_texts, "ridge_fit": ridge,
 }
 ORACLES = {
     "positive_edges": f"WITH {_ED} SELECT user_id, anime_id FROM ed",
@@ -214,6 +220,7 @@ ORACLES = {
     "faulty_vectors": "SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN embedding IS NULL THEN 'missing' WHEN len(embedding) <> embedding_dim THEN 'length' WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 'not finite' END AS reason FROM anime_embeddings) WHERE reason IS NOT NULL GROUP BY 1",
     "dimension_range": "SELECT CAST(min(len(embedding)) AS INTEGER) AS least, CAST(max(len(embedding)) AS INTEGER) AS most FROM embeddings",
     "named_embeddings": f"WITH {PREP} SELECT e.anime_id, coalesce(name, '') AS name, coalesce(english_name, '') AS english_name, CAST(count(*) AS BIGINT) AS n FROM anime_embeddings e JOIN prep ON prep.anime_id = e.anime_id WHERE model_name = 'tessera-text-v1' GROUP BY 1, 2, 3",
+    "named_embeddings_all": f"WITH {PREP} SELECT e.anime_id, model_name, coalesce(name, '') AS name, coalesce(english_name, '') AS english_name, coalesce(genres, '') AS genres, CAST(count(*) AS BIGINT) AS n FROM anime_embeddings e JOIN prep ON prep.anime_id = e.anime_id GROUP BY ALL",
     "metadata": f"WITH {PREP}, {CODES} SELECT anime_id, name, type, source FROM prep WHERE anime_id IN (SELECT anime_id FROM codes)",
     "shared_semantic_ids": f"WITH {SEM} SELECT semantic_id, CAST(count(*) AS BIGINT) AS n, min(anime_id) AS first_id FROM sem GROUP BY 1",
     "code_means": f"WITH {CODES} SELECT anime_id, round(avg(c / 2048.0::DOUBLE), 9) AS m1, round(avg(CAST(c % 7 AS DOUBLE)), 9) AS m2 FROM (SELECT anime_id, unnest(codes) AS c FROM codes) WHERE c BETWEEN 0 AND 2047 GROUP BY 1",

@@ -217,8 +217,8 @@ def test_runs(spark, tmp_path):
     assert instructions.evaluation_texts(runs.evaluation_defaults(spark), 10).count() == 4
 
 
-@pytest.mark.parametrize("name", ["training_pools", "training_set_full"])
-def test_training_set_of_all_users_equals_sql(spark, rows, name):
+@pytest.mark.parametrize("name", ["training_pools", "training_set_full", "named_embeddings_all"])
+def test_whole_tables_equal_sql(spark, rows, name):
     import os
 
     import __spark_entry__ as entry
