@@ -43,6 +43,18 @@ def proxy(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_neighbours(e, query_items(e, SUPPORT, QUERY_MOST), K)
 
 
+def cooccurrence_all(spark: SparkSession, d: str) -> DataFrame:
+    """Shared users of every title with enough support."""
+    e = _edges(spark, d)
+    return shared_users(e, query_items(e, SUPPORT, 0))
+
+
+def proxy_all(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbours of every title with enough support."""
+    e = _edges(spark, d)
+    return jaccard_neighbours(e, query_items(e, SUPPORT, 0), K)
+
+
 def hamming(spark: SparkSession, d: str) -> DataFrame:
     return code_neighbours(codes(spark, d), codes(spark, d).where("anime_id % 50 = 0"), K)
 
@@ -176,9 +188,11 @@ def ridge(spark: SparkSession, d: str) -> DataFrame:
 _ED = f"{UA}, {CODES}, ed AS (SELECT DISTINCT user_id, anime_id FROM ua WHERE watching_status = {STATUS} AND score >= {SCORE} AND anime_id IN (SELECT anime_id FROM codes))"
 _SU = _ED + ", su AS (SELECT anime_id, count(*) AS support FROM ed GROUP BY 1)"
 _Q = _SU + f", q AS (SELECT anime_id FROM su WHERE support >= {SUPPORT} ORDER BY md5('42:' || anime_id), anime_id LIMIT {QUERY_MOST})"
+_QA = _SU + f", q AS (SELECT anime_id FROM su WHERE support >= {SUPPORT})"
 _CO = _Q + ", co AS (SELECT a.anime_id, b.anime_id AS other_id, count(*) AS shared FROM ed a JOIN ed b ON a.user_id = b.user_id AND a.anime_id <> b.anime_id WHERE a.anime_id IN (SELECT anime_id FROM q) GROUP BY 1, 2)"
 _PX = _CO + f""", px AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anime_id ORDER BY jaccard DESC, other_id) AS rank FROM (
   SELECT co.anime_id, other_id, CAST(shared AS DOUBLE) / (a.support + b.support - shared) AS jaccard FROM co JOIN su a ON a.anime_id = co.anime_id JOIN su b ON b.anime_id = other_id)) WHERE rank <= {K})"""
+_COA, _PXA = _CO.replace(_Q, _QA, 1), _PX.replace(_Q, _QA, 1)
 _HM = """hm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anime_id ORDER BY distance, prefix DESC, other_id) AS rank FROM (
   SELECT a.anime_id, b.anime_id AS other_id, len(list_filter(a.codes, lambda x, i: x <> b.codes[i])) / 8.0::DOUBLE AS distance,
     coalesce(list_position(list_transform(a.codes, lambda x, i: x = b.codes[i]), false) - 1, 8) AS prefix
@@ -189,7 +203,7 @@ _TK = CODES + ", tk AS (SELECT anime_id, codes, list_transform(codes, lambda c,
 _GS = "list_distinct(list_filter(list_transform(string_split(coalesce(genres, ''), ','), lambda x: lower(trim(x))), lambda x: x <> ''))"
 
 QUERIES = {
-    "positive_edges": edges, "item_support": support, "cooccurrence": cooccurrence, "proxy_neighbors": proxy, "hamming_topk": hamming, "recall_at_k": recall, "recall_report": report,
+    "positive_edges": edges, "item_support": support, "cooccurrence": cooccurrence, "proxy_neighbors": proxy, "cooccurrence_all": cooccurrence_all, "proxy_neighbors_all": proxy_all, "hamming_topk": hamming, "recall_at_k": recall, "recall_report": report,
     "recall_examples": examples, "semantic_ids": made_ids, "token_counts": counts, "vocab": vocab, "parsed_tokens": parsed, "prefix_depth": prefixes, "cluster_buckets": buckets,
     "bucket_purity": purity, "code_usage_perplexity": usage, "code_histogram": histogram, "vector_norm": vector_norm, "faulty_vectors": faulty_vectors, "dimension_range": dimensions,
     "named_embeddings": named_embeddings, "named_embeddings_all": named_embeddings_all, "metadata": metadata, "shared_semantic_ids": shared_ids, "code_means": code_means, "residual_training": residual_training, "embedded_texts": embedded_texts, "ridge_fit": ridge,
@@ -199,6 +213,8 @@ ORACLES = {
     "item_support": f"WITH {_SU} SELECT anime_id, CAST(support AS BIGINT) AS support FROM su",
     "cooccurrence": f"WITH {_CO} SELECT anime_id, other_id, CAST(shared AS BIGINT) AS shared FROM co",
     "proxy_neighbors": f"WITH {_PX} SELECT anime_id, other_id, jaccard, CAST(rank AS INTEGER) AS rank FROM px",
+    "cooccurrence_all": f"WITH {_COA} SELECT anime_id, other_id, CAST(shared AS BIGINT) AS shared FROM co",
+    "proxy_neighbors_all": f"WITH {_PXA} SELECT anime_id, other_id, jaccard, CAST(rank AS INTEGER) AS rank FROM px",
     "hamming_topk": f"WITH {CODES}, {_HM.format(where='a.anime_id % 50 = 0')} SELECT anime_id, other_id, distance, CAST(prefix AS INTEGER) AS prefix, CAST(rank AS INTEGER) AS rank FROM hm",
     "recall_at_k": f"WITH {_RC} SELECT anime_id, hits, CAST(wanted AS BIGINT) AS wanted, recall FROM rc",
     "recall_report": f"WITH {_RC} SELECT 'ok' AS status, {K} AS recall_k, {SUPPORT} AS min_support, count(*) AS evaluated_queries, round(avg(recall), 9) AS mean_recall, round(median(recall), 9) AS median_recall FROM rc",

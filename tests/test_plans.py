@@ -217,14 +217,14 @@ def test_runs(spark, tmp_path):
     assert instructions.evaluation_texts(runs.evaluation_defaults(spark), 10).count() == 4
 
 
-@pytest.mark.parametrize("name", ["training_pools", "training_set_full", "named_embeddings_all"])
+@pytest.mark.parametrize("name", ["training_pools", "training_set_full", "named_embeddings_all", "cooccurrence_all", "proxy_neighbors_all"])
 def test_whole_tables_equal_sql(spark, rows, name):
     import os
 
     import __spark_entry__ as entry
     import duckdb
 
-    d = "/root/testdata/sf0.001"
+    d = "/root/testdata/sf0.01" if name.startswith(("cooc", "proxy")) else "/root/testdata/sf0.001"  # where titles have support
     if not os.path.isdir(d):
         pytest.skip("no test data")
     con = duckdb.connect()
