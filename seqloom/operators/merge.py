@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.session import checkpoint
+
 
 def first_writer(incoming: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ingest order; rows with a null key are kept out."""
@@ -31,20 +33,27 @@ def insert_or_ignore_two_keys(existing: DataFrame | None, incoming: DataFrame, f
 
     Rows that clash with the table go first, then each key keeps its first writer.
     A row that loses by its second key does not block its first key for a later row:
-    the losers are tried again against the winners, three times in all, which
-    settles every chain of at most three clashes.
+    the losers are tried again against the winners until none is left. The first of
+    all pending rows always wins, so every round settles some; a chain of n clashes
+    takes about n / 2 rounds. A null key clashes with nothing.
     """
     columns = incoming.columns
-    pending = incoming
-    table = existing
-    for _ in range(3):
-        if table is not None:
-            pending = pending.join(table.select(first).where(F.col(first).isNotNull()), first, "left_anti").join(table.select(second).where(F.col(second).isNotNull()), second, "left_anti")
-        by_first = F.row_number().over(Window.partitionBy(first).orderBy(*order))
-        by_second = F.row_number().over(Window.partitionBy(second).orderBy(*order))
-        winners = pending.withColumn("_a", by_first).withColumn("_b", by_second).where("_a = 1 and _b = 1").select(*columns)
-        table = winners if table is None else table.unionByName(winners)
-    return table
+    keyless = F.col(first).isNull() & F.col(second).isNull()
+    pending = checkpoint(incoming.where(~keyless).withColumn("_row", F.monotonically_increasing_id()))  # decides between equal places
+    free = incoming.where(keyless)
+    table = free if existing is None else existing.unionByName(free)
+    taken = existing
+    while True:
+        if taken is not None:
+            for key in (first, second):
+                pending = pending.join(taken.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+            pending = checkpoint(pending)
+        if pending.isEmpty():
+            return table
+        place = lambda key: F.when(F.col(key).isNull(), 1).otherwise(F.row_number().over(Window.partitionBy(key).orderBy(*order, "_row")))
+        taken = checkpoint(pending.withColumn("_a", place(first)).withColumn("_b", place(second)).where("_a = 1 and _b = 1").select(*columns, "_row"))
+        pending = pending.join(taken.select("_row"), "_row", "left_anti")
+        table = table.unionByName(taken.select(*columns))
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], version: Sequence[Column]) -> DataFrame:

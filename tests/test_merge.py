@@ -53,3 +53,10 @@ def test_missing_items_and_pending(spark, rows):
     assert rows(merge.pending(users, progress, "user_id")) == [(2, 5, 0), (3, 0, 0)]
     assert rows(merge.pending(users, progress, "user_id", 1)) == [(2, 5, 0)]
     assert merge.total_members(spark.createDataFrame([], "club_id bigint, members bigint")).first()[0] == 0
+
+
+def test_chains_of_clashes_are_settled_to_the_end(spark, rows):
+    pairs = [(k // 2 + 1, chr(65 + (k + 1) // 2)) for k in range(21)]  # (1,A), (1,B), (2,B), (2,C), ...
+    come = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "seq int, user_id bigint, username string")
+    got = merge.insert_or_ignore_two_keys(None, come, "user_id", "username", [F.col("seq")])
+    assert rows(got) == sorted([(i, a, b) for i, (a, b) in enumerate(pairs) if i % 2 == 0], key=repr)
