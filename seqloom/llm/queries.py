@@ -63,7 +63,7 @@ def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of cosine 0.75 or more of which one is among the ten nearest of the other."""
-    found = nearest_neighbours(title_vectors(spark, sf_dir), 10).where(F.col("sim") >= LINK)
+    found = nearest_neighbours(title_vectors(spark, sf_dir), 10, least=LINK)
     return found.select(F.least("id", "other").alias("anime_a"), F.greatest("id", "other").alias("anime_b")).distinct()
 
 
