@@ -52,10 +52,11 @@ _ATERM = "".join(regex.findall(r"\p{Sentence_Break=ATerm}", _ALL))
 # Closing signs; quotation marks, which open or close, are matched apart.
 _CLOSE = "".join(regex.findall(r"(?=\p{Sentence_Break=Close})\p{Pe}", _ALL))
 _CONTINUE = "".join(c for c in regex.findall(r"\p{Sentence_Break=SContinue}", _ALL) if not regex.match(r"\p{Pd}", c))
+_SHAD = "།༎"  # Tibetan, not in the property; ends a sentence as the text's only stop
 _ASKING = "!?‼‽⁇⁈⁉⸮"  # case and blanks behind them decide, as in the scripts with case
 # Ends a sentence without a blank behind it.
-_WIDE = "".join(c for c in _STERM if c not in _ASKING) + "．♪"
-_ENDS = _STERM + _ATERM + "…♪"
+_WIDE = "".join(c for c in _STERM if c not in _ASKING) + "．♪" + _SHAD
+_ENDS = _STERM + _ATERM + "…♪" + _SHAD
 _FOLLOWS = _CONTINUE + _CLOSE + ",，、،;；:：)）]】»」』》%/"  # never the first sign of a sentence
 _EMOTE = r"(?:\^\^|\^_\^|T_T|xD\b|<3|[:;=]-?[)(DPp]+(?!\w)|[\U0001F300-\U0001FAFF☀-♩♫-➿]️?)"
 
@@ -73,38 +74,82 @@ _WORD = regex.compile(r"[\p{L}\p{M}\p{N}№.'’\-]+$")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー々〆〜]")
 _CASELESS = regex.compile(r"[\p{Lo}\p{M}]")
 _PAIRS = {"“": "”", "„": "“”", "«": "»", "»": "«", "”": "“", "「": "」", "『": "』", "《": "》", "‘": "’", '"': '"', "'": "'"}
+_TOLD = regex.compile(r"[.!?…]\s+—(?=\p{Ll})")
+_DIGIT_BEFORE = regex.compile(r"\d\s*$")
+_SPACED_SCRIPT = regex.compile(r"[\p{Hangul}\p{Thai}]")
+_WORD_BEFORE = regex.compile(r"(\w+)\s+$")
+_GREEK = regex.compile(r"\p{Greek}")
+_FREE = "([（「『:：—–-¿¡,،" + _ENDS + "）』」》”^😊"
+_SHUT = _ENDS + ")"
 _PARTICLE = "とはがをにのもでっ"
 
 
-def _closing(text: str, at: int, stop: int) -> int:
-    """Where the quotation opened at ``at`` closes, or -1 if nothing opens there."""
-    sign = text[at]
-    before = text[at - 1] if at else " "
-    behind = text[at + 1] if at + 1 < stop else " "
-    wide = sign in "「『《"
-    if not wide:
-        free = before.isspace() or before in "([（「『:：—–-¿¡,،" or _CASELESS.match(before) or before in _ENDS + "）』」》”^😊"
-        if sign in "\"'" and not (free or before in _ENDS + ")"):
+class _Quotes:
+    """Where quotations of one text close; each sign is looked for once, so the work is linear in the text."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.found: dict[str, tuple[int, int]] = {}
+        self.pairs: dict[str, dict[int, int]] = {}
+
+    def _next(self, name: str, at: int, search) -> int:
+        """The first place from ``at`` on; what an earlier search found holds until it is passed."""
+        since, place = self.found.get(name, (at + 1, -1))
+        if not since <= at <= place:
+            place = search(at)
+            self.found[name] = at, place
+        return place
+
+    def _plain(self, sign: str, at: int) -> int:
+        text, ends = self.text, _PAIRS[sign]
+        while True:
+            places = [i for i in (text.find(c, at) for c in ends) if i >= 0]
+            if not places:
+                return len(text)
+            i = min(places)
+            if sign != "'" or not (text[i - 1].isalnum() and i + 1 < len(text) and text[i + 1].isalnum()):
+                return i
+            at = i + 1
+
+    def _nested(self, sign: str) -> dict[int, int]:
+        if sign not in self.pairs:
+            pairs, held = {}, []
+            for token in regex.finditer(f"[{sign}{_PAIRS[sign]}]", self.text):
+                if token[0] == sign:
+                    held.append(token.start())
+                elif held:
+                    pairs[held.pop()] = token.start()
+            self.pairs[sign] = pairs
+        return self.pairs[sign]
+
+    def told(self, at: int, stop: int) -> int:
+        """Where the words about the speaker begin, after a dash, or -1."""
+
+        def search(i: int) -> int:
+            found = _TOLD.search(self.text, i)
+            return found.start() if found else len(self.text)
+
+        place = self._next("told", at, search)
+        found = _TOLD.match(self.text, place, stop) if place < stop else None
+        return found.end() if found else -1
+
+    def closing(self, at: int, stop: int) -> int:
+        """Where the quotation opened at ``at`` closes, or -1 if nothing opens there."""
+        text = self.text
+        sign = text[at]
+        before = text[at - 1] if at else " "
+        behind = text[at + 1] if at + 1 < stop else " "
+        if sign in "「『《":
+            return close if (close := self._nested(sign).get(at, stop)) < stop else -1
+        free = before.isspace() or before in _FREE or _CASELESS.match(before)
+        if sign in "\"'" and not (free or before in _SHUT):
             return -1
         if sign == "'" and (before.isalnum() or not (behind.isalpha() or behind in ".¿¡…")):
             return -1
         if sign in "»”" and (not free or behind.isspace() or not (behind.isalpha() or behind in "¿¡…")):
             return -1
-    ends = _PAIRS[sign]
-    i, deep = at + 1, 0
-    while i < stop:
-        c = text[i]
-        if wide and c == sign:
-            deep += 1
-        elif c in ends:
-            if sign == "'" and (text[i - 1].isalnum() and i + 1 < stop and text[i + 1].isalnum()):
-                pass
-            elif deep:
-                deep -= 1
-            else:
-                return i
-        i += 1
-    return -1
+        close = self._next(sign, at + 1, lambda i: self._plain(sign, i))
+        return close if close < stop else -1
 
 
 def _last_word(text: str, start: int, dot: int) -> str:
@@ -124,24 +169,25 @@ def _abbreviation(text: str, start: int, dot: int, after: int, stop: int) -> boo
     if word in BEFORE_NUMBER and (following.isdigit() or following in ("№", "#")):
         return True
     if word == "г":  # a year before it, and a capital behind it: may be the end
-        return not regex.search(r"\d\s*$", text[max(start, dot - 8) : dot - 1])
+        return not _DIGIT_BEFORE.search(text, max(start, dot - 8), dot - 1)
     if len(word) == 1 and word.isalpha():
         lead = text[max(start, dot - 5) : dot - 1].rstrip().lower()
         if lead.endswith("т.") and word in "дп":
             return False
-        if _CJK.match(word) or regex.match(r"[\p{Hangul}\p{Thai}]", word):
+        if _CJK.match(word) or _SPACED_SCRIPT.match(word):
             return False
         return bool(whole.isupper() or _CASELESS.match(word) or word in "тсдпκzdut") and not (word == "i" and whole.islower())
     if word in ("e.e", "ee"):
         return True
     if word.isdigit() and len(word) <= 2:  # German ordinals
-        lead = regex.search(r"(\w+)\s+$", text[max(start, dot - 16) : dot - len(word)])
+        lead = _WORD_BEFORE.search(text[max(start, dot - 16) : dot - len(word)])
         return bool(lead) and lead[1].lower() in ("am", "der", "die", "das", "dem", "den", "des", "vom", "im", "zum", "zur")
     return False
 
 
-def _sentences(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
+def _sentences(quotes: _Quotes, start: int, stop: int) -> Iterator[tuple[int, int]]:
     """Sentences of text[start:stop], which has no blank line."""
+    text = quotes.text
     listed = bool(_MARKER.match(text, start, stop))
     if listed:
         cuts = [start]
@@ -149,13 +195,14 @@ def _sentences(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
             if _MARKER.match(text, line.end(), stop):
                 cuts.append(line.end())
         for a, b in zip(cuts, [*cuts[1:], stop], strict=True):
-            yield from _run(text, a, b, _MARKER.match(text, a, b).end())
+            yield from _run(quotes, a, b, _MARKER.match(text, a, b).end())
     else:
-        yield from _run(text, start, stop, start)
+        yield from _run(quotes, start, stop, start)
 
 
-def _run(text: str, start: int, stop: int, body: int) -> Iterator[tuple[int, int]]:
+def _run(quotes: _Quotes, start: int, stop: int, body: int) -> Iterator[tuple[int, int]]:
     """Sentences of a run of text; the first one's own words begin at ``body``."""
+    text = quotes.text
     while True:
         while start < stop and text[start].isspace():
             start += 1
@@ -166,7 +213,7 @@ def _run(text: str, start: int, stop: int, body: int) -> Iterator[tuple[int, int
             at = label.end()
         if record := _RECORD.match(text, at, stop):
             at = record.end()
-        end = _end(text, start, at, stop)
+        end = _end(quotes, start, at, stop)
         shown = end
         while shown > start and text[shown - 1].isspace():
             shown -= 1
@@ -174,22 +221,21 @@ def _run(text: str, start: int, stop: int, body: int) -> Iterator[tuple[int, int
         start = body = end
 
 
-def _end(text: str, start: int, at: int, stop: int) -> int:
+def _end(quotes: _Quotes, start: int, at: int, stop: int) -> int:
     """Where the sentence that begins at ``start`` ends; its own words begin at ``at``."""
+    text = quotes.text
     opening = at
     while opening < stop and text[opening] in "([（":
         opening += 1
     if text.startswith("—", opening) and opening + 1 < stop and not text[opening + 1].isspace():
-        told = regex.compile(r"[.!?…]\s+—(?=\p{Ll})").search(text, opening, stop)
-        if told:
-            at = told.end()
+        at = max(at, quotes.told(opening, stop))
     i = at
     while token := _TOKEN.search(text, i, stop):
         i = token.end()
         if token.lastgroup == "thai":
             return token.start()
         if token.lastgroup == "open":
-            close = _closing(text, token.start(), stop)
+            close = quotes.closing(token.start(), stop)
             if close < 0:
                 continue
             inner = close - 1
@@ -207,7 +253,7 @@ def _end(text: str, start: int, at: int, stop: int) -> int:
         else:
             run = token["end"]
             mark = run[-1]
-            if set(run) <= {";", ";"} and not (run == ";" or regex.search(r"\p{Greek}", text[max(start, token.start() - 6) : token.start()])):
+            if set(run) <= {";", ";"} and not (run == ";" or _GREEK.search(text, max(start, token.start() - 6), token.start())):
                 continue
             after = _AFTER.match(text, i, stop)
             if mark in _ATERM and len(run) == 1 and not after["close"] and not after["emote"] and _abbreviation(text, start, token.start(), after.end(), stop):
@@ -262,11 +308,11 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of every sentence; none for null, empty and blank texts."""
     if not text:
         return []
-    spans, start = [], 0
+    spans, start, quotes = [], 0, _Quotes(text)
     for gap in _PARAGRAPH.finditer(text):
-        spans += _sentences(text, start, gap.start())
+        spans += _sentences(quotes, start, gap.start())
         start = gap.end()
-    spans += _sentences(text, start, len(text))
+    spans += _sentences(quotes, start, len(text))
     return spans
 
 

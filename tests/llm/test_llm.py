@@ -517,3 +517,21 @@ def test_every_character_is_covered_once(spark):
             assert a >= last and b > a and not text[last:a].strip() and text[a:b] == text[a:b].strip()
             last = b
         assert not text[last:].strip()
+
+
+@pytest.mark.parametrize("text", [
+    "Սա առաջին նախադասությունն է։ Սա երկրորդն է։ Սա երրորդն է։", "ဒါပထမစာကြောင်း။ ဒါဒုတိယ။ ဒါတတိယ။", "នេះជាប្រយោគទីមួយ។ នេះជាទីពីរ។ នេះជាទីបី។",
+    "འདི་དང་པོ་ཡིན། འདི་གཉིས་པ་ཡིན། འདི་གསུམ་པ་ཡིན།", "ᠨᠢᠭᠡ᠃ ᠬᠣᠶᠠᠷ᠃ ᠭᠤᠷᠪᠠ᠃", "አንድ። ሁለት። ሦስት፧",
+])
+def test_sentences_of_scripts_with_their_own_stops(text):
+    spans = sentence_spans(text)
+    assert len(spans) == 3 and "".join(text[a:b] for a, b in spans) == text.replace("། ", "།").replace("። ", "።").replace("။ ", "။").replace("។ ", "។").replace("։ ", "։").replace("᠃ ", "᠃")
+
+
+@pytest.mark.parametrize("unit", ["「あ", '"a ', "“b ", "‘c ", "«d ", "'e ", "„f ", "《z", "— Aa b. "])
+def test_open_quotes_cost_no_more_than_the_text_is_long(unit):
+    import time
+
+    text = unit * (120_000 // len(unit))
+    began = time.process_time()
+    assert sentence_spans(text)[0][0] == 0 and time.process_time() - began < 4  # 20 s when every sign is searched to the end
