@@ -2,9 +2,11 @@
 
 Every source gets a budget of tokens. Documents are counted by exact length; a
 source is used whole as often as its budget allows, and the rest of the budget
-is fitted by lengths: a seeded share of every length, then a bounded knapsack
-over what remains. The documents themselves are drawn by a seeded hash within
-their length, so only counts by length ever reach the driver.
+is fitted by lengths: the same share of every length, what cannot be taken of one
+being carried to the next from a seeded start, so that documents of all lengths are
+as likely; then a bounded knapsack, over lengths in a seeded order, for the small
+part of the budget that is kept back for it. The documents themselves are drawn by a
+seeded hash within their length, so only counts by length ever reach the driver.
 """
 
 from __future__ import annotations
@@ -15,36 +17,56 @@ from pyspark.sql import functions as F
 
 from seqloom.session import checkpoint
 
-#: Tokens that the exact fit works on; what is more is taken length by length before.
+#: Tokens that are kept back for the exact fit, at most; else a fiftieth of the budget, or two of the longest documents.
 FIT_TOKENS = 65_536
 
 
-def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int = FIT_TOKENS) -> np.ndarray:
+def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int = FIT_TOKENS, seed: int = 42) -> np.ndarray:
     """How many of each length to take so that their sum comes nearest to ``budget`` from below.
 
-    A share of every length is taken first, then the largest lengths that fit, until
-    at most ``fit`` tokens are left; those are filled by the best subset sum over the
-    remaining counts.
+    Short lengths come first, so that what is carried never makes the sum exceed the
+    budget; what is left for the knapsack is at most ``fit`` tokens and the longest
+    document's.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     whole = int(lengths @ counts)
     if budget >= whole:
         return counts.copy()
-    take = (counts * (max(0, budget) / max(1, whole))).astype(np.int64)
-    left = budget - int(lengths @ take)
-    for i in np.argsort(-lengths):
-        if left <= fit:
-            break
-        more = min(int(counts[i] - take[i]), (left - fit // 2) // int(lengths[i])) if lengths[i] else 0
-        if more > 0:
-            take[i] += more
-            left -= more * int(lengths[i])
+    rng = np.random.default_rng([seed, len(lengths), whole % 2**31])
+    start, order = rng.random(), rng.permutation(len(lengths))
+    kept = min(fit, max(budget // 50, 2 * int(lengths.max(initial=0))))
+    while True:
+        take = _shares(lengths, counts, budget, max(0, budget - kept) / whole, start)
+        take = _fill(lengths, counts, take, budget - int(lengths @ take), order)
+        if int(lengths @ take) == budget or kept >= min(fit, budget):
+            return take
+        kept = min(fit, 4 * kept)  # with more at hand the sum comes nearer
+
+
+def _shares(lengths: np.ndarray, counts: np.ndarray, budget: int, share: float, start: float) -> np.ndarray:
+    """The share of every length in whole documents, short lengths first."""
+    take, left, carried = np.zeros_like(counts), max(0, budget), None
+    for i in np.argsort(lengths, kind="stable"):
+        if not lengths[i]:
+            continue
+        carried = (start * int(lengths[i]) if share else 0.0) if carried is None else carried
+        carried += share * int(lengths[i] * counts[i])
+        take[i] = min(int(counts[i]), int(carried // lengths[i]), left // int(lengths[i]))
+        carried -= int(take[i] * lengths[i])
+        left -= int(take[i] * lengths[i])
+    return take
+
+
+def _fill(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, left: int, order: np.ndarray) -> np.ndarray:
+    """``take`` with the subset of what remains whose sum comes nearest to ``left`` from below.
+
+    Subset sums are bits of one integer; the sums before each length lead back.
+    """
     if left <= 0:
         return take
-    # subset sums as bits of one integer; the sums before each length lead back
-    mask = (1 << (left + 1)) - 1
+    take, mask = take.copy(), (1 << (left + 1)) - 1
     reach, before = 1, []
-    order = [int(i) for i in np.argsort(-lengths) if 0 < lengths[i] <= left and counts[i] > take[i]]
+    order = [int(i) for i in order if 0 < lengths[i] <= left and counts[i] > take[i]]
     for i in order:
         before.append(reach)
         spare, unit = min(int(counts[i] - take[i]), left // int(lengths[i])), 1
@@ -86,13 +108,13 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, key: str, total_tokens: in
     weight = sum(share for share, _ in wanted.values()) or 1.0
     plan: list[tuple[str, int, int, int]] = []
     for source, (share, most) in wanted.items():
-        own = [(r["n_tokens"], r["c"]) for r in counted if r["source"] == source]
+        own = sorted((r["n_tokens"], r["c"]) for r in counted if r["source"] == source)
         if not own or not most:
             continue
         lengths, counts = np.array([x for x, _ in own]), np.array([c for _, c in own])
         budget = int(round(total * share / weight))
         full = min(most, budget // available[source])
-        more = fit_lengths(lengths, counts, budget - full * available[source]) if full < most else np.zeros_like(counts)
+        more = fit_lengths(lengths, counts, budget - full * available[source], seed=seed) if full < most else np.zeros_like(counts)
         plan += [(source, int(n), int(full), int(m)) for n, m in zip(lengths, more, strict=True)]
     chosen = spark.createDataFrame(plan, "source string, n_tokens long, full int, more long")
     # draw ``more`` documents of each length: whole parts of the hash, then ranks within one part

@@ -415,6 +415,18 @@ def test_budget_fit_is_best(seed):
     assert max(s for s in sums if s <= budget) - int(lengths @ take) <= 3
 
 
+def test_documents_of_all_lengths_are_as_likely():
+    rng = np.random.default_rng(0)
+    lengths = np.unique(np.r_[rng.lognormal(6.3, 1.3, 250).astype(int) + 5, [11_000, 15_000, 20_000]])
+    budget, hits = int(lengths.sum() * 0.4), np.zeros(len(lengths))
+    for seed in range(100):
+        take = mixing.fit_lengths(lengths, np.ones(len(lengths), int), budget, seed=seed)
+        assert budget - 2 <= take @ lengths <= budget
+        hits += take
+    thirds = [hits[part].mean() / 100 for part in np.array_split(np.arange(len(lengths)), 3)]
+    assert all(0.33 < share < 0.47 for share in thirds)
+
+
 def test_mix_meets_shares_and_caps(spark):
     random.seed(4)
     docs = [(i, random.choice(["a", "a", "a", "b"]), random.randint(1, 90)) for i in range(3000)] + [(9001, "a", 0), (9002, None, 5), (9003, "other", 5), (9004, "a", None)]
