@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from seqloom.functions.instants import instant_micros
 from seqloom.functions.text import join_url, status_code
 from seqloom.operators.merge import club_candidates, first_writer, insert_or_ignore, missing_items, pending, progress_rows, resume_snapshot, total_members, upsert, with_progress
 from seqloom.queries.common import _TS, UA, interactions
-from seqloom.session import table
+from seqloom.session import shared_folder, table
 from seqloom.sources.readers import derived_users, payload_rows
 from seqloom.streaming.pages import TableStore, page_progress, page_stream, upsert_stream
 
@@ -116,10 +116,7 @@ def page_state(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_latest_events(spark: SparkSession, d: str) -> DataFrame:
     """The events as a stream of files, merged into a table of the latest of each user and kind."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seqloom-")
-    import uuid
-
-    at = f"{base.removeprefix('file://')}/stream-{uuid.uuid4().hex}" if base.startswith("file://") else f"{base}/stream-{uuid.uuid4().hex}"
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     store = TableStore(spark, f"{at}/table")
     stream = page_stream(spark, f"{d}/events.parquet*", table(spark, d, "events").schema)
     upsert_stream(stream.select("user_id", "event_type", "event_id", "ts", "value"), store, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")], f"{at}/offsets").awaitTermination()

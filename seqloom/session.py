@@ -28,17 +28,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, one for each application, that all executors share.
 
-    The folder is taken from the session. Only a session that has none, as in
-    tests, gets a temporary one. Executors may be lost afterwards: the data is
-    on the shared file system and not in their memory.
+    Only a session on one machine that has none, as in tests, gets a temporary one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seqloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="seqloom-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through :func:`shared_folder`.
+
+    Executors may be lost afterwards: the data is on the shared file system and not in
+    their memory.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
     cut = df.checkpoint()
     # A checkpointed frame still carries the size estimates of the plan behind it, which
     # multiply with every join of an iteration; a frame over its rows alone does not.
