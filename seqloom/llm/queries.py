@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.instants import instant, instant_micros
@@ -14,7 +14,7 @@ from seqloom.llm.packing import PackLimits, pack_items
 from seqloom.llm.sentences import split_sentences
 from seqloom.llm.splits import related_groups, split_related
 from seqloom.llm.tokens import with_tokens
-from seqloom.session import checkpoint, table
+from seqloom.session import checkpoint, shared_folder, table
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +93,41 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("example_id", "task", "split_name")
 
 
+def p5_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spanning forest of the keys, read back from the table it is kept in; ``u`` and ``a`` are user and first title."""
+    forest = f"{shared_folder(spark)}/p5_forest"
+    related_groups(table(spark, sf_dir, "llm_prep_train"), "example_id", _example_keys(), forest=forest)
+    rows = spark.read.parquet(forest)
+    return rows.select(F.substring("p", 3, 20).cast("long").alias("user_id"), F.substring("q", 3, 20).cast("long").alias("anime_id"))
+
+
+def p5_forest_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of the forest, and the users and titles it joins."""
+    return p5_forest(spark, sf_dir).agg(F.count("*").alias("edges"), F.count_distinct("user_id").alias("users"), F.count_distinct("anime_id").alias("titles"))
+
+
+def p5_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, and users and first titles whose examples are in more than one split."""
+    train = table(spark, sf_dir, "llm_prep_train")
+    user, title = _example_keys()
+    keyed = checkpoint(train.select("example_id", user.alias("u"), title.alias("a")).join(p5_splits(spark, sf_dir), "example_id"))
+    zero = F.lit(0).cast("long")
+    parts = keyed.agg(F.count("*").alias("n_rows"), F.count_distinct("example_id").alias("n_examples"), zero.alias("users_torn"), zero.alias("titles_torn"))
+    for k in ("u", "a"):
+        torn = F.count_if(F.col("n") > 1)
+        by_key = keyed.where(F.col(k).isNotNull()).groupBy(k).agg(F.count_distinct("split_name").alias("n"))
+        parts = parts.unionByName(by_key.agg(zero.alias("n_rows"), zero.alias("n_examples"), (torn if k == "u" else zero).alias("users_torn"), (torn if k == "a" else zero).alias("titles_torn")))
+    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
+
+
+def p5_near_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For all rows and each task: rows, and whether every split is within a point and three rows of its share."""
+    shares = p5_shares(spark, sf_dir).join(table(spark, sf_dir, "split_targets"), "split_name")
+    off = F.abs(F.col("n") - F.col("target_share") * F.sum("n").over(Window.partitionBy("task")))
+    kept = shares.select("task", "n", (off <= 3 + 0.01 * F.sum("n").over(Window.partitionBy(F.lit(1)))).alias("near"))
+    return kept.groupBy("task").agg(F.sum("n").alias("n"), F.bool_and("near").alias("near"))
+
+
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and share of every split, overall (task null) and per task."""
     counts = checkpoint(p5_splits(spark, sf_dir).groupBy("task", "split_name").agg(F.count("*").alias("n")))
@@ -114,6 +149,41 @@ def p7_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bins.groupBy("pack_name").agg(F.count("*").alias("n_containers"), F.sum("segments").alias("n_segments"), F.sum("used").alias("used_tokens"), F.sum("unused").alias("unused_tokens"))
 
 
+def p7_instruction_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every training example in containers of each size, whose prompts bear no loss.
+
+    A container holds at most 16 examples, and loss on at most a sixth of its tokens.
+    """
+    train = table(spark, sf_dir, "llm_prep_train")
+    sizes = with_tokens(train, "example_id", "input", ("output",)).withColumnRenamed("n_tokens", "prompt_tokens")
+    sizes = with_tokens(sizes, "example_id", "output", ("prompt_tokens",)).select("example_id", (F.col("prompt_tokens") + F.col("n_tokens")).alias("n_tokens"), F.col("n_tokens").alias("loss_tokens"))
+    packs = [(r["pack_name"], r["capacity_tokens"]) for r in table(spark, sf_dir, "pack_sizes").orderBy("pack_name").collect()]
+    return pack_items(sizes, "example_id", [PackLimits(name, capacity, 16, max(1, capacity // 6)) for name, capacity in packs], loss="loss_tokens")
+
+
+def _pack_faults(packs: DataFrame, sf_dir: str, key: str, segments: int) -> DataFrame:
+    """(pack_name, n_items, torn, over_capacity, over_segments): the last three are 0 of valid containers."""
+    sizes = table(packs.sparkSession, sf_dir, "pack_sizes")
+    rows = checkpoint(packs)
+    whole = rows.groupBy("pack_name", key).agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens")).join(sizes, "pack_name")
+    torn = whole.groupBy("pack_name").agg(F.count("*").alias("n_items"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity_tokens"))).alias("torn"))
+    bins = rows.where("container_id is not null").groupBy("pack_name", "container_id").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("n"), F.max("unused_tokens").alias("unused")).join(sizes, "pack_name")
+    wrong = bins.groupBy("pack_name").agg(F.count_if(F.col("used") + F.col("unused") != F.col("capacity_tokens")).alias("over_capacity"), F.count_if(F.col("n") > segments).alias("over_segments"))
+    return torn.join(wrong, "pack_name").select("pack_name", "n_items", "torn", "over_capacity", "over_segments")
+
+
+def p7_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed, and what would be wrong with their containers: nothing."""
+    return _pack_faults(p7_packs(spark, sf_dir), sf_dir, "doc_id", 64)
+
+
+def p7_instruction_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of training examples of each size and how full each limit is."""
+    rows = p7_instruction_packs(spark, sf_dir).where("container_id is not null")
+    bins = rows.groupBy("pack_name", "container_id").agg(F.sum("n_tokens").alias("tokens"), F.sum("loss_tokens").alias("loss"), F.count("*").alias("segments"))
+    return bins.groupBy("pack_name").agg(F.count("*").alias("n_containers"), F.sum("tokens").alias("tokens"), F.sum("loss").alias("loss_tokens"), F.sum("segments").alias("segments"), F.max("loss").alias("most_loss"), F.max("segments").alias("most_segments"))
+
+
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents = table(spark, sf_dir, "documents").withColumn("source", F.lower(F.trim("source")))
     return with_tokens(documents, "doc_id", "text", ("source",)), table(spark, sf_dir, "mix_targets").withColumn("source", F.lower(F.trim("source")))
@@ -130,6 +200,13 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(mix_sources(sizes, targets, "doc_id"), sizes, targets)
 
 
+def p8_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, max_repeats, over): documents used more often than they may be, none."""
+    sizes, targets = _mix(spark, sf_dir)
+    used = mix_sources(sizes, targets, "doc_id").groupBy("source", "doc_id").agg(F.sum("repeats").alias("n"))
+    return targets.join(used, "source", "left").groupBy("source", "max_repeats").agg(F.count_if(F.col("n") > F.col("max_repeats")).alias("over"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sentence of every document."""
     return split_sentences(table(spark, sf_dir, "documents")).select("doc_id", "start_char", "end_char")
@@ -141,6 +218,14 @@ def p9_sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.count("*").alias("n_sentences"), F.max(F.col("end_char") - F.col("start_char")).alias("longest"))
 
 
+def p9_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_chars): characters of the sentences of each document that are not white space."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = split_sentences(texts).join(texts, "doc_id").select("doc_id", F.expr("substring(text, start_char + 1, end_char - start_char)").alias("s"))
+    return spans.groupBy("doc_id").agg(F.sum(F.length(F.regexp_replace("s", _BLANK, ""))).alias("n_chars"))
+
+
+_BLANK = r"[\t\n\x{0B}\f\r \x1c-\x1f\x{85}\p{Z}]"
 _BASKETS = """b AS (SELECT user_id, anime_id FROM (
   SELECT user_id, anime_id, score, row_number() OVER (PARTITION BY user_id, anime_id ORDER BY
     CAST(CASE WHEN scraped_at LIKE '%Z' OR substr(scraped_at, -6, 1) IN ('+', '-') THEN scraped_at ELSE scraped_at || '+00:00' END AS TIMESTAMPTZ) DESC,
@@ -163,16 +248,27 @@ QUERIES = {
     "p3_nearest": p3_nearest,
     "p5_found": p5_found,
     "p5_splits": p5_splits,
-    "p5_shares": p5_shares,
+    "p5_shares": p5_shares, "p5_forest": p5_forest, "p5_forest_size": p5_forest_size, "p5_leaks": p5_leaks, "p5_near_targets": p5_near_targets,
     "p7_packs": p7_packs,
-    "p7_unused": p7_unused,
+    "p7_unused": p7_unused, "p7_faults": p7_faults, "p7_instruction_packs": p7_instruction_packs, "p7_instruction_unused": p7_instruction_unused,
     "p8_mix": p8_mix,
-    "p8_shares": p8_shares,
-    "p9_found": p9_found, "p9_sentence_counts": p9_sentence_counts,
+    "p8_shares": p8_shares, "p8_faults": p8_faults,
+    "p9_found": p9_found, "p9_sentence_counts": p9_sentence_counts, "p9_cover": p9_cover,
 }
 _HITS = """ FROM c JOIN n na ON na.anime_id = c.a JOIN n nb ON nb.anime_id = c.b CROSS JOIN t
   WHERE n_ab >= 10 AND CAST(n_ab AS DOUBLE) * t / (CAST(na.n AS DOUBLE) * nb.n) >= 2 AND CAST(n_ab AS DOUBLE) / (na.n + nb.n - n_ab) >= 0.25"""
+# components of users and first titles, by the smallest key that reaches each
+_GROUPS = """e AS (SELECT example_id AS id, user_id, anime_ids[1] AS anime_id, 'u' || user_id AS u, 'a' || anime_ids[1] AS a FROM llm_prep_train),
+  l AS MATERIALIZED (SELECT u AS a, a AS b FROM e WHERE u IS NOT NULL AND a IS NOT NULL UNION SELECT a, u FROM e WHERE u IS NOT NULL AND a IS NOT NULL),
+  g(k, r) AS (SELECT k, k FROM (SELECT DISTINCT unnest([u, a]) AS k FROM e WHERE u IS NOT NULL AND a IS NOT NULL) UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.k), m AS (SELECT k, min(r) AS r FROM g GROUP BY 1)"""
 ORACLES = {
+    "p5_forest_size": f"""WITH RECURSIVE {_GROUPS}, t AS (SELECT count(DISTINCT user_id) AS users, count(DISTINCT anime_id) AS titles FROM e WHERE user_id IS NOT NULL AND anime_id IS NOT NULL)
+  SELECT users + titles - (SELECT count(DISTINCT r) FROM m) AS edges, users, titles FROM t""",
+    "p5_leaks": "SELECT count(*) AS n_rows, count(DISTINCT example_id) AS n_examples, CAST(0 AS BIGINT) AS users_torn, CAST(0 AS BIGINT) AS titles_torn FROM llm_prep_train",
+    "p5_near_targets": "SELECT coalesce(upper(trim(task)), '(all)') AS task, CAST(count(*) AS BIGINT) AS n, true AS near FROM llm_prep_train GROUP BY ROLLUP (upper(trim(task)))",
+    "p7_faults": "SELECT pack_name, (SELECT count(*) FROM documents) AS n_items, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS over_capacity, CAST(0 AS BIGINT) AS over_segments FROM pack_sizes",
+    "p8_faults": "SELECT lower(trim(source)) AS source, max_repeats, CAST(0 AS BIGINT) AS over FROM mix_targets",
+    "p9_cover": r"SELECT doc_id, CAST(length(regexp_replace(text, '[\t\n\v\f\r \x1c-\x1f\x{85}\p{Z}]', '', 'g')) AS BIGINT) AS n_chars FROM documents WHERE regexp_replace(text, '[\t\n\v\f\r \x1c-\x1f\x{85}\p{Z}]', '', 'g') <> ''",
     "p1_found": f"""WITH RECURSIVE {_VECTORS}, l AS MATERIALIZED (SELECT a, b FROM s WHERE c >= 0.75),
   g(id, r) AS (SELECT id, id FROM v UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.id), m AS (SELECT id, min(r) AS r FROM g GROUP BY 1)
   SELECT r AS anime_a, id AS anime_b FROM m WHERE id <> r AND r IN (SELECT r FROM m GROUP BY 1 HAVING count(*) >= 3)""",

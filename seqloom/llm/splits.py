@@ -3,13 +3,15 @@
 Records that share a key are related. Keys are the vertices of a graph and
 records that hold two keys its edges; its components are found by contracting,
 round by round, the least edge of every component. The edges chosen make up a
-spanning forest, which is written to the shared folder. The components are then
-put in bands by size and dealt systematically: along a running sum of sizes,
-each falls to the split whose share of the cycle it meets.
+spanning forest, which can be written as a table. The components are then put in
+bands by size and dealt systematically, the largest band first: along a running
+sum of sizes, each falls to the split whose share of the cycle it meets; a band's
+cycle is shared out by what the splits still lack after the bands before it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,9 +72,12 @@ def components(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return member, tree
 
 
-def related_groups(df: DataFrame, row: str, keys: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
+def related_groups(df: DataFrame, row: str, keys: Sequence[Column], keep: Sequence[str] = (), forest: str | None = None) -> DataFrame:
     """(row, keep..., root): rows related by an equal non-null key, directly or through others.
 
+    ``forest``: folder, shared by all executors, to which the spanning forest is written
+    as parquet (p, q); its vertices are ``1:`` and ``2:`` before a value of either key.
+
     ``keys``: two columns; a value of one never equals a value of the other. A row
     without keys is its own group, and so is each such row with a null id.
     """
@@ -82,7 +87,9 @@ def related_groups(df: DataFrame, row: str, keys: Sequence[Column], keep: Sequen
         F.concat(F.lit("1:"), first.cast("string")).alias("_p"), F.concat(F.lit("2:"), second.cast("string")).alias("_q"),
     )
     rows = checkpoint(rows)
-    member, _ = components(rows.select(F.col("_p").alias("p"), F.col("_q").alias("q")))
+    member, tree = components(rows.select(F.col("_p").alias("p"), F.col("_q").alias("q")))
+    if forest is not None:
+        tree.write.mode("overwrite").parquet(forest)
     # an anchor without edges is its own component
     found = rows.withColumn("vertex", F.coalesce("_p", "_q")).join(member, "vertex", "left")
     alone = F.concat(F.lit("0:"), F.coalesce(F.col(row), F.concat(F.lit("?"), F.monotonically_increasing_id().cast("string"))))
@@ -103,71 +110,80 @@ def running_sum(df: DataFrame, group: Sequence[str], order: Column, tie: str, va
     return parted.join(sums, [*group, "_part"]).withColumn("before", F.col("_at") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("_o", "_part", "_at")
 
 
+def _dealt(at: Column, lacks: dict[tuple[str, str], float], names: Sequence[str], task: str, spare: str) -> Column:
+    """The split at ``at`` in 0..1, which is shared out by what each lacks of the task."""
+    need = {s: n for s in names if (n := max(0.0, lacks[s, task])) > 0} or {spare: 1.0}
+    whole, edge = sum(need.values()), 1.0
+    choice = F.lit(list(need)[-1])
+    for s, after in reversed(list(zip(need, list(need)[1:]))):
+        edge -= need[after] / whole
+        choice = F.when(at < edge, F.lit(s)).otherwise(choice)
+    return choice
+
+
 def deal_groups(rows: DataFrame, task: Column, targets: Sequence[tuple[str, float]], seed: int = 42) -> DataFrame:
     """(root, split_name): a split for every group, shares kept overall and per task.
 
-    A group as large as a two-hundredth of the smallest split (there are at most
-    200 / share of those) goes, largest first, to the split that it overfills least and that lacks its tasks most.
-    The others are dealt along one chain for each commonest task, size band by size
-    band, by what each split still lacks of that task, one task after the other (there
-    must be few). Fewer groups than splits leave splits empty.
+    Groups stand in bands by the power of two of their size, and in one chain for each
+    band and leading task (there must be few tasks), of which they hold the largest part. Bands are dealt from the largest
+    down, every chain systematically in a seeded order. Only a group larger than the
+    whole smallest split, of which there are fewer than 1 / share, is placed before, in
+    the split that it overfills least. Fewer groups than splits leave splits empty.
+    To the driver go sums by split and task, a band at a time.
     """
     total_share = sum(max(0.0, s) for _, s in targets)
     if not targets or total_share <= 0:
         raise ValueError("a positive share is needed")
-    shares = {name: max(0.0, s) / total_share for name, s in targets}
-    least = min(s for s in shares.values() if s > 0)
+    shares = {name: s / total_share for name, s in targets if s > 0}
+    least, spare = min(shares.values()), max(shares, key=lambda s: shares[s])
     counted = rows.withColumn("task", F.coalesce(task, F.lit(""))).groupBy("root", "task").agg(F.count("*").alias("n"))
-    groups = checkpoint(counted.groupBy("root").agg(F.sum("n").alias("size"), F.max(F.struct("n", "task"))["task"].alias("task"), F.map_from_entries(F.collect_list(F.struct("task", "n"))).alias("by_task")))
-    all_tasks = {r["task"]: r["n"] for r in counted.groupBy("task").agg(F.sum("n").alias("n")).collect()}
+    groups = checkpoint(counted.groupBy("root").agg(F.sum("n").alias("size"), F.map_from_entries(F.collect_list(F.struct("task", "n"))).alias("by_task")))
+    all_tasks = {r["task"]: r["n"] for r in groups.select(F.explode("by_task").alias("task", "n")).groupBy("task").agg(F.sum("n").alias("n")).collect()}
+    # the task of which a group holds the largest part of all rows
+    part = F.array(*[F.struct((F.coalesce(F.try_element_at("by_task", F.lit(t)), F.lit(0)) / n).alias("part"), F.lit(t).alias("task")) for t, n in sorted(all_tasks.items())] or [F.struct(F.lit(0.0).alias("part"), F.lit("").alias("task"))])
+    groups = groups.withColumn("task", F.array_max(part)["task"])
     total = sum(all_tasks.values())
     lacks = {(s, t): share * n for s, share in shares.items() for t, n in all_tasks.items()}
-    bound = max(2.0, total * least / 200)
+    bound = max(1.0, total * least)
     fixed: list[tuple[str, str]] = []
-    for r in groups.where(F.col("size") >= bound).orderBy(F.desc("size"), "root").collect():
+    for r in groups.where(F.col("size") > bound).orderBy(F.desc("size"), "root").collect():
         own = r["by_task"]
 
         def cost(s: str, own: dict[str, int] = own) -> tuple[float, float]:
             over = sum(max(0.0, n - lacks[s, t]) / all_tasks[t] for t, n in own.items())
             return over, -sum(n * lacks[s, t] / (shares[s] * all_tasks[t]) for t, n in own.items())
 
-        chosen = min((s for s in shares if shares[s] > 0), key=cost)
+        chosen = min(shares, key=cost)
         fixed.append((r["root"], chosen))
-        for t, n in r["by_task"].items():
+        for t, n in own.items():
             lacks[chosen, t] -= n
-    spark = rows.sparkSession
-    large = spark.createDataFrame(fixed, "root string, split_name string")
-    rest = groups.where(F.col("size") < bound).withColumn("band", F.floor(F.log2("size")).cast("int"))
-    # largest bands first, at random inside; one chain a task, so that rests of a cycle carry over
-    order = F.shiftleft(F.lit(63) - F.col("band").cast("long"), 57) + F.shiftrightunsigned(F.xxhash64(F.lit(seed), "root"), 7)
-    placed = checkpoint(running_sum(rest, ["task"], order, "root", "size", 15))
-    at = ((F.col("before") + F.col("size") / 2.0) / (bound / least)) % 1.0
-    foreign = placed.groupBy("task").agg(F.sum(F.col("size") - F.coalesce(F.try_element_at("by_task", "task"), F.lit(0))).alias("n"))
-    chains = [r["task"] for r in foreign.orderBy(F.desc("n"), "task").collect()]
-    dealt = None
-    for t in chains:  # those that hold most rows of other tasks first: the later ones make up for them
-        need = {s: n for s in shares if (n := max(0.0, lacks[s, t])) > 0} or {max(shares, key=lambda s: shares[s]): 1.0}
-        whole, edge = sum(need.values()), 1.0
-        choice = F.lit(list(need)[-1])
-        for s, after in reversed(list(zip(need, list(need)[1:]))):
-            edge -= need[after] / whole
-            choice = F.when(at < edge, F.lit(s)).otherwise(choice)
-        chain = placed.where(F.col("task") == t).withColumn("split_name", choice)
-        if len(chains) > 1:
-            used = chain.select("split_name", F.explode("by_task").alias("t", "n")).groupBy("split_name", "t").agg(F.sum("n").alias("n"))
-            for r in used.collect():
+    rest = groups.where(F.col("size") <= bound).withColumn("band", F.floor(F.log2("size")).cast("int"))
+    # parts of some 20,000 groups, also in the band that holds nearly all of them
+    bits = min(20, max(4, math.ceil(math.log2(max(1, groups.count()) / 20_000))))
+    summed = running_sum(rest, ["task", "band"], F.xxhash64(F.lit(seed), "root"), "root", "size", bits)
+    cycle = F.pow(F.lit(2.0), F.col("band") + 1) / least
+    placed = checkpoint(summed.withColumn("at", ((F.col("before") + F.col("size") / 2.0) / cycle) % 1.0).select("root", "task", "band", "at", "by_task"))
+    several = checkpoint(placed.where("band > 0"))  # few beside the single rows, and read once a band
+    bands = [r["band"] for r in several.select("band").distinct().orderBy(F.desc("band")).collect()]
+    dealt = rows.sparkSession.createDataFrame(fixed, "root string, split_name string")
+    for band in [*bands, 0]:
+        choice = F.lit(None).cast("string")
+        for t in all_tasks:
+            choice = F.when(F.col("task") == t, _dealt(F.col("at"), lacks, list(shares), t, spare)).otherwise(choice)
+        chain = (several if band else placed).where(F.col("band") == band).withColumn("split_name", choice)
+        if band:
+            for r in chain.select("split_name", F.explode("by_task").alias("t", "n")).groupBy("split_name", "t").agg(F.sum("n").alias("n")).collect():
                 lacks[r["split_name"], r["t"]] -= r["n"]
-        chain = chain.select("root", "split_name")
-        dealt = chain if dealt is None else dealt.unionByName(chain)
-    return large if dealt is None else dealt.unionByName(large)
+        dealt = dealt.unionByName(chain.select("root", "split_name"))
+    return dealt
 
 
-def split_related(df: DataFrame, row: str, keys: Sequence[Column], task: Column, targets: Sequence[tuple[str, float]], seed: int = 42) -> DataFrame:
+def split_related(df: DataFrame, row: str, keys: Sequence[Column], task: Column, targets: Sequence[tuple[str, float]], seed: int = 42, forest: str | None = None) -> DataFrame:
     """(row, task, root, split_name) for every row; related rows share a split.
 
     Null ids, keys and tasks are allowed (a null task is a task of its own); repeated
     rows are related by their keys. An empty table gives no rows.
     """
-    rows = related_groups(df.withColumn("_task", task), row, keys, ["_task"]).withColumnRenamed("_task", "task")
+    rows = related_groups(df.withColumn("_task", task), row, keys, ["_task"], forest).withColumnRenamed("_task", "task")
     dealt = deal_groups(rows, F.col("task"), targets, seed)
     return rows.join(dealt, "root").select(row, "task", "root", "split_name")

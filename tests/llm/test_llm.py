@@ -313,6 +313,17 @@ def examples(n, seed=0, hot=False):
     return [*rows, (f"chain{0}", 10**9, None, None), *[(f"chain{i + 1}", 10**9 + i, 10**6 + i, None) for i in range(40)], *[(f"chainb{i}", 10**9 + i + 1, 10**6 + i, None) for i in range(40)]]
 
 
+def test_the_forest_is_kept(spark, tmp_path):
+    df = spark.createDataFrame(examples(60), "id string, u bigint, a bigint, task string")
+    splits.related_groups(df, "id", (F.col("u"), F.col("a")), forest=f"{tmp_path}/forest")
+    tree = spark.read.parquet(f"{tmp_path}/forest")
+    joined = df.where("u is not null and a is not null")
+    pairs = [("e", r["u"], r["a"], None) for r in joined.collect()]
+    keys = len({r[1] for r in pairs}) + len({r[2] for r in pairs})
+    parts = len({frozenset(g) for g in brute_groups([(i, *r[1:]) for i, r in enumerate(pairs)])})
+    assert tree.count() == keys - parts and tree.where("p not like '1:%' or q not like '2:%'").count() == 0
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_groups_are_the_components(spark, hot):
     rows = examples(400, hot=hot)
@@ -397,6 +408,32 @@ def test_little_space_is_unused(spark):
     assert packing.pack_items(sizes.limit(0), "id", [packing.PackLimits("x", 512)]).count() == 0
 
 
+def test_every_limit_binds():
+    rng = np.random.default_rng(4)
+    tokens, loss = rng.integers(20, 200, 3000), rng.integers(1, 20, 3000)
+    for limits, full in ((packing.PackLimits("t", 1000), tokens), (packing.PackLimits("s", 4000, 12), np.ones(3000)), (packing.PackLimits("l", 4000, 500, 150), loss)):
+        bins = packing.pack_vectors(tokens, loss, limits)
+        most = {"t": limits.capacity, "s": limits.max_segments, "l": limits.loss}[limits.name]
+        assert np.bincount(bins, tokens).max() <= limits.capacity and np.bincount(bins).max() <= limits.max_segments and np.bincount(bins, loss).max() <= limits.loss
+        assert bins.max() + 1 <= 1.01 * full.sum() / most + 1
+
+
+def test_small_items_do_not_remain_for_containers_of_their_own():
+    rng = np.random.default_rng(5)
+    tokens = np.r_[rng.integers(1, 30, 6000), rng.integers(1000, 2500, 500)]
+    bins = packing.pack_vectors(tokens, tokens - 1, packing.PackLimits("x", 8192, 64))
+    assert bins.max() + 1 <= 1.02 * max(tokens.sum() / 8192, len(tokens) / 64) + 1
+
+
+def test_prompts_bear_no_loss(spark):
+    sizes = spark.createDataFrame([(1, 10, 4), (2, 25, 7), (3, 5, None), (4, 5, 9), (5, None, 1)], "id bigint, n_tokens bigint, out bigint")
+    rows = packing.pack_items(sizes, "id", [packing.PackLimits("x", 10, 3, 6)], loss="out").collect()
+    got = {r["id"]: [] for r in rows}
+    for r in sorted(rows, key=lambda r: r["piece"]):
+        got[r["id"]].append((r["n_tokens"], r["loss_tokens"]))
+    assert got == {1: [(10, 4)], 2: [(6, 0), (6, 0), (6, 0), (6, 6), (1, 1)], 3: [(5, 0)], 4: [(5, 5)], 5: [(0, 0)]}
+
+
 # ---- mixing --------------------------------------------------------------------------------
 
 
