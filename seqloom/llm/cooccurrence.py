@@ -3,11 +3,13 @@
 Counting. Baskets hold distinct items. A pair can only pass if both items are
 frequent enough and their frequencies are near enough for the least Jaccard, so
 other pairs are never formed. Baskets up to ``hot_basket`` items are counted in
-Arrow batches, each added up before anything is shuffled. Larger baskets form no
-pairs of their own: their share of a pair is the overlap of the two items' lists
-of large baskets, and the pairs that only they hold come from prefixes of those
-lists (an item may drop its last c-1 baskets, c being the least count). Both ways
-are exact.
+Arrow batches, each added up before anything is shuffled. Larger baskets do not pair
+all their items. With baskets in order of size, two items that meet the limits share
+one among those that are left when each drops its o-1 largest, o being the least
+count or Jaccard times its own, whichever is more; so most items pair in no large
+basket. Those that do meet by blocks of the basket, never the basket at a time. The
+share of large baskets in the count of a pair is the overlap of the items' lists of
+them, kept in pieces of bounded length. All of this is exact.
 
 Chance. The null is the bipartite configuration model: every basket keeps its
 size and every item its frequency on average, an item being in a basket with
@@ -36,12 +38,18 @@ _PAIR = "item_a long, item_b long, n long"
 
 @dataclass(frozen=True)
 class PairLimits:
-    """Least count, lift and Jaccard of a pair, and from how many items on a basket is large."""
+    """Least count, lift and Jaccard of a pair, and from how many items on a basket is large.
+
+    ``block``: items of a large basket that are paired at a time; ``piece``: baskets in a
+    piece of an item's list of large ones.
+    """
 
     min_count: int = 10
     min_lift: float = 2.0
     min_jaccard: float = 0.25
     hot_basket: int = 2048
+    block: int = 2048
+    piece: int = 4096
 
 
 def latest_score_baskets(log: DataFrame, when: Column, low: int, high: int) -> DataFrame:
@@ -151,28 +159,51 @@ def count_pairs(baskets: DataFrame, limits: PairLimits) -> tuple[DataFrame, Data
     return pairs, items, sizes, total
 
 
-def _with_hot(small: DataFrame, hot: DataFrame, limits: PairLimits) -> DataFrame:
-    """Counts of the small baskets, completed by those of the large ones.
+def _pair_blocks(ratio: float):
+    """Pairs within one block of a large basket, or between two, whose counts allow the Jaccard."""
 
-    An item's list of large baskets has at most (rows / hot_basket) entries.
-    """
-    lists = checkpoint(hot.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("size", "basket"))).alias("h")))
-    held = F.size("h")
-    # pairs that only large baskets hold: both must share a basket of their prefixes
-    prefix = (
-        lists.where(held >= limits.min_count)
-        .select("item", F.explode(F.slice("h", 1, held - limits.min_count + 1)).alias("x"))
-        .select("item", F.col("x.basket").alias("basket"))
-    )
-    only = prefix.alias("p").join(prefix.alias("q"), "basket").where("p.item < q.item").select(F.col("p.item").alias("item_a"), F.col("q.item").alias("item_b")).distinct()
+    def run(group: pa.Table) -> pa.Table:
+        item, n, part = (group[c].to_numpy() for c in ("item", "n", "part"))
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for s in range(0, len(left), 256):
+            own = left[s : s + 256]
+            low, high = np.minimum(n[own][:, None], n[right]), np.maximum(n[own][:, None], n[right])
+            x, y = np.nonzero((high * ratio <= low) & ((item[own][:, None] < item[right]) if i == j else True))
+            found.append((item[own][x], item[right][y]))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"item_a": np.minimum(a, b), "item_b": np.maximum(a, b)})
+
+    return run
+
+
+def _with_hot(small: DataFrame, hot: DataFrame, limits: PairLimits) -> DataFrame:
+    """Counts of the small baskets, completed by those of the large ones (basket, item, n, size)."""
+    hot = checkpoint(hot)
+    # an item's o-1 largest baskets need not be looked at
+    least = F.greatest(F.lit(limits.min_count), F.ceil(F.col("n") * F.lit(limits.min_jaccard) - 1e-9)).cast("long")
+    place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("size"), F.desc("basket")))
+    prefix = checkpoint(hot.withColumn("place", place).where(F.col("place") >= least).select("basket", "item", "n"))
+    blocks = prefix.groupBy("basket").agg(F.ceil(F.count("*") / F.lit(limits.block)).cast("int").alias("blocks"))
+    parted = prefix.join(blocks, "basket").withColumn("part", F.pmod(F.xxhash64("item"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    meeting = parted.withColumn("q", other).select("basket", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), "part", "item", "n")
+    only = meeting.groupBy("basket", "i", "j").applyInArrow(_pair_blocks(float(limits.min_jaccard)), "item_a long, item_b long").distinct()
     every = small.join(only, ["item_a", "item_b"], "full").withColumn("n_small", F.coalesce("n_small", F.lit(0)))
-    a = lists.select(F.col("item").alias("item_a"), F.transform("h", lambda x: x["basket"]).alias("h_a"))
-    b = lists.select(F.col("item").alias("item_b"), F.transform("h", lambda x: x["basket"]).alias("h_b"))
-    joined = every.join(a, "item_a", "left").join(b, "item_b", "left")
-    most = F.least(F.coalesce(F.size("h_a"), F.lit(0)), F.coalesce(F.size("h_b"), F.lit(0)))
-    joined = joined.where(F.col("n_small") + F.greatest(most, F.lit(0)) >= limits.min_count)
-    both = F.coalesce(F.size(F.array_intersect("h_a", "h_b")), F.lit(0))
-    return joined.select("item_a", "item_b", (F.col("n_small") + F.greatest(both, F.lit(0))).alias("n_ab"))
+    held = hot.groupBy("item").agg(F.count("*").alias("held"))
+    a, b = held.select(F.col("item").alias("item_a"), F.col("held").alias("held_a")), held.select(F.col("item").alias("item_b"), F.col("held").alias("held_b"))
+    every = every.join(a, "item_a", "left").join(b, "item_b", "left")
+    most = F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0)))
+    every = checkpoint(every.withColumn("most", most).where(F.col("n_small") + F.col("most") >= limits.min_count).select("item_a", "item_b", "n_small", "most"))
+    # lists in pieces by basket, so that none grows with the table
+    pieces = max(1, math.ceil(hot.select("basket").distinct().count() / limits.piece))
+    lists = checkpoint(hot.groupBy("item", F.pmod(F.xxhash64("basket"), F.lit(pieces)).cast("int").alias("piece")).agg(F.collect_list("basket").alias("h")))
+    a, b = lists.select(F.col("item").alias("item_a"), "piece", F.col("h").alias("h_a")), lists.select(F.col("item").alias("item_b"), "piece", F.col("h").alias("h_b"))
+    shared = every.where("most > 0").join(a, "item_a").join(b, ["item_b", "piece"])
+    shared = shared.select("item_a", "item_b", F.size(F.array_intersect("h_a", "h_b")).alias("n_large")).groupBy("item_a", "item_b").agg(F.sum("n_large").alias("n_large"))
+    counted = every.join(shared, ["item_a", "item_b"], "left")
+    return counted.select("item_a", "item_b", (F.col("n_small") + F.coalesce("n_large", F.lit(0))).alias("n_ab"))
 
 
 @dataclass(frozen=True)

@@ -238,12 +238,28 @@ def test_pair_counts_are_exact_with_hot_baskets(spark, hot, count):
     random.seed(hot)
     rows = {(u, random.randint(1, 30) if random.random() < 0.6 else 100 + u % 5 * 3 + random.randint(0, 2)) for u in range(150) for _ in range(random.choice([1, 3, 6, 25]))}
     rows |= {(1000 + u, i) for u in range(12) for i in range(500, 520)}  # items that only large baskets hold
-    limits = cooccurrence.PairLimits(count, 1.2, 0.1, hot)
+    limits = cooccurrence.PairLimits(count, 1.2, 0.1, hot, block=7, piece=3)
     pairs, *_ = cooccurrence.count_pairs(spark.createDataFrame(sorted(rows), "basket bigint, item bigint"), limits)
     got = {tuple(r) for r in pairs.collect()}
     assert got == brute_pairs(rows, limits) and got
 
 
+def test_pair_counts_of_baskets_over_the_limit(spark):
+    rng = np.random.default_rng(7)
+    held = np.zeros((314, 3000), np.int64)
+    for u in range(14):
+        held[u, rng.choice(3000, 2400, replace=False)] = 1
+    for u in range(14, 314):
+        held[u, rng.choice(3000, 20, replace=False)] = 1
+    n, both = held.sum(0), held.T @ held
+    limits = cooccurrence.PairLimits(12, 1.1, 0.25)
+    a, b = np.nonzero(np.triu((both >= 12) & (both * 314 >= 1.1 * n[:, None] * n) & (both >= 0.25 * (n[:, None] + n - both)), 1))
+    u, i = np.nonzero(held)
+    pairs, *_ = cooccurrence.count_pairs(spark.createDataFrame(list(zip(u.tolist(), i.tolist(), strict=True)), "basket bigint, item bigint"), limits)
+    got = {(r["item_a"], r["item_b"]): r["n_ab"] for r in pairs.collect()}
+    assert got == {(x, y): both[x, y] for x, y in zip(a.tolist(), b.tolist(), strict=True)} and len(got) > 1000
+
+
 def test_surprise_finds_planted_pairs_only(spark):
     random.seed(5)
     rows = {(u, random.randint(1, 200)) for u in range(800) for _ in range(8)}
