@@ -50,7 +50,8 @@ def insert_or_ignore_two_keys(existing: DataFrame | None, incoming: DataFrame, f
             pending = checkpoint(pending)
         if pending.isEmpty():
             return table
-        place = lambda key: F.when(F.col(key).isNull(), 1).otherwise(F.row_number().over(Window.partitionBy(key).orderBy(*order, "_row")))
+        # rows with a null key are alone, each in a window of its own
+        place = lambda key: F.row_number().over(Window.partitionBy(key, F.when(F.col(key).isNull(), F.col("_row"))).orderBy(*order, "_row"))
         taken = checkpoint(pending.withColumn("_a", place(first)).withColumn("_b", place(second)).where("_a = 1 and _b = 1").select(*columns, "_row"))
         pending = pending.join(taken.select("_row"), "_row", "left_anti")
         table = table.unionByName(taken.select(*columns))

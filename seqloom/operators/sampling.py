@@ -48,6 +48,28 @@ def running_totals(df: DataFrame, order: str | Column, values: Sequence[str], wi
     return out.drop("_p", "_o", "_n0", *[f"_s0_{v}" for v in values])
 
 
+#: Leading hex digits of the seeded text that rows are counted by: at most 65,536 counts.
+_DIGITS = 4
+
+
+def _first(pool: DataFrame, quota: int, key: Column, counts: dict[str, int]) -> DataFrame:
+    """The ``quota`` rows of least ``key``.
+
+    Counts by leading digits tell which rows are in for certain; only those of the one
+    group of digits in which the quota ends are ordered.
+    """
+    before = 0
+    for digits in sorted(counts):
+        if before + counts[digits] >= quota:
+            break
+        before += counts[digits]
+    columns = pool.columns
+    keyed = pool.withColumn("_key", key)
+    lead = F.substring("_key", 1, _DIGITS)
+    edge = keyed.where(lead == digits).orderBy("_key").limit(quota - before)
+    return (keyed.where(lead < digits).unionByName(edge) if before else edge).select(*columns)
+
+
 def sample_to_quota(pool: DataFrame, quota: int, order: Sequence[str | Column], seed: int = 42) -> DataFrame:
     """``quota`` rows of the pool: a seeded draw, or whole reshuffled cycles if it is too small.
 
@@ -55,14 +77,23 @@ def sample_to_quota(pool: DataFrame, quota: int, order: Sequence[str | Column],
     """
     if quota <= 0:
         return pool.limit(0)
-    n = pool.count()
+
+    def counts(key: Column) -> dict[str, int]:
+        return {r["d"]: r["n"] for r in pool.groupBy(F.substring(key, 1, _DIGITS).alias("d")).agg(F.count("*").alias("n")).collect()}
+
+    key = seeded(seed, *order)
+    found = counts(key)
+    n = sum(found.values())
     if not n:
         raise ValueError(f"no rows for a quota of {quota}")
-    if n >= quota:
-        return pool.orderBy(seeded(seed, *order)).limit(quota)
+    if n > quota:
+        return _first(pool, quota, key, found)
     full, rest = divmod(quota, n)
-    whole = pool.withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(full)))).drop("_c")
-    return whole if not rest else whole.unionByName(pool.orderBy(seeded(seed + full, *order)).limit(rest))
+    whole = pool if full == 1 else pool.withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(full)))).drop("_c")
+    if not rest:
+        return whole
+    key = seeded(seed + full, *order)
+    return whole.unionByName(_first(pool, rest, key, counts(key)))
 
 
 def sample_groups(pool: DataFrame, group: str, wanted: Mapping[str, int], order: Sequence[str | Column], seed: int = 42) -> DataFrame:

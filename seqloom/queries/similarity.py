@@ -13,7 +13,7 @@ from seqloom.operators.validation import dimension_range, invalid_vectors
 from seqloom.plans.embed import HashingBackend, embed_texts
 from seqloom.plans.tokenise import semantic_ids
 from seqloom.queries.common import CODES, PREP, SEM, UA, codes, interactions, one_prep, semantic
-from seqloom.session import table
+from seqloom.session import checkpoint, table
 from seqloom.sources.readers import embeddings_with_names, metadata_rows
 from seqloom.sources.writers import inverse_lookup
 
@@ -22,47 +22,43 @@ SPECIAL = ("<anime_start>", "<anime_end>", "<watch>", "<liked>", "<disliked>", "
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    return positive_edges(interactions(spark, d), codes(spark, d), STATUS, SCORE)
+    """Edges, written once: every use of them would merge the log again."""
+    return checkpoint(positive_edges(interactions(spark, d), codes(spark, d), STATUS, SCORE))
+
+
+def _queries(edges: DataFrame, most: int) -> DataFrame:
+    return checkpoint(query_items(edges, SUPPORT, most))
 
 
 def edges(spark: SparkSession, d: str) -> DataFrame:
-    return _edges(spark, d)
+    return positive_edges(interactions(spark, d), codes(spark, d), STATUS, SCORE)
 
 
 def support(spark: SparkSession, d: str) -> DataFrame:
-    return item_support(_edges(spark, d))
+    return item_support(edges(spark, d))
 
 
 def cooccurrence(spark: SparkSession, d: str) -> DataFrame:
-    e = _edges(spark, d)
-    return shared_users(e, query_items(e, SUPPORT, QUERY_MOST))
-
-
-def proxy(spark: SparkSession, d: str) -> DataFrame:
-    e = _edges(spark, d)
-    return jaccard_neighbours(e, query_items(e, SUPPORT, QUERY_MOST), K)
-
-
-def cooccurrence_all(spark: SparkSession, d: str) -> DataFrame:
     """Shared users of every title with enough support."""
     e = _edges(spark, d)
-    return shared_users(e, query_items(e, SUPPORT, 0))
+    return shared_users(e, _queries(e, 0))
 
 
-def proxy_all(spark: SparkSession, d: str) -> DataFrame:
+def proxy(spark: SparkSession, d: str) -> DataFrame:
     """Neighbours of every title with enough support."""
     e = _edges(spark, d)
-    return jaccard_neighbours(e, query_items(e, SUPPORT, 0), K)
+    return jaccard_neighbours(e, _queries(e, 0), K)
 
 
 def hamming(spark: SparkSession, d: str) -> DataFrame:
-    return code_neighbours(codes(spark, d), codes(spark, d).where("anime_id % 50 = 0"), K)
+    c = checkpoint(codes(spark, d))
+    return code_neighbours(c, c.where("anime_id % 50 = 0"), K)
 
 
 def _recall(spark: SparkSession, d: str) -> DataFrame:
-    e = _edges(spark, d)
-    queries = query_items(e, SUPPORT, QUERY_MOST)
-    return recall_at_k(jaccard_neighbours(e, queries, K), code_neighbours(codes(spark, d), queries, K), K)
+    e, c = _edges(spark, d), checkpoint(codes(spark, d))
+    queries = _queries(e, QUERY_MOST)
+    return checkpoint(recall_at_k(jaccard_neighbours(e, queries, K), code_neighbours(c, queries, K), K))
 
 
 def recall(spark: SparkSession, d: str) -> DataFrame:
@@ -140,11 +136,6 @@ def dimensions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def named_embeddings(spark: SparkSession, d: str) -> DataFrame:
-    rows = embeddings_with_names(table(spark, d, "anime_embeddings").where("model_name = 'tessera-text-v1'"), one_prep(spark, d))
-    return rows.groupBy("anime_id", "name", "english_name").agg(F.count("*").alias("n"))
-
-
-def named_embeddings_all(spark: SparkSession, d: str) -> DataFrame:
     """Every embedding of every model with the names of its title, counted by model."""
     rows = embeddings_with_names(table(spark, d, "anime_embeddings"), one_prep(spark, d))
     return rows.groupBy("anime_id", "model_name", "name", "english_name", "genres").agg(F.count("*").alias("n"))
@@ -203,18 +194,16 @@ _TK = CODES + ", tk AS (SELECT anime_id, codes, list_transform(codes, lambda c,
 _GS = "list_distinct(list_filter(list_transform(string_split(coalesce(genres, ''), ','), lambda x: lower(trim(x))), lambda x: x <> ''))"
 
 QUERIES = {
-    "positive_edges": edges, "item_support": support, "cooccurrence": cooccurrence, "proxy_neighbors": proxy, "cooccurrence_all": cooccurrence_all, "proxy_neighbors_all": proxy_all, "hamming_topk": hamming, "recall_at_k": recall, "recall_report": report,
+    "positive_edges": edges, "item_support": support, "cooccurrence": cooccurrence, "proxy_neighbors": proxy, "hamming_topk": hamming, "recall_at_k": recall, "recall_report": report,
     "recall_examples": examples, "semantic_ids": made_ids, "token_counts": counts, "vocab": vocab, "parsed_tokens": parsed, "prefix_depth": prefixes, "cluster_buckets": buckets,
     "bucket_purity": purity, "code_usage_perplexity": usage, "code_histogram": histogram, "vector_norm": vector_norm, "faulty_vectors": faulty_vectors, "dimension_range": dimensions,
-    "named_embeddings": named_embeddings, "named_embeddings_all": named_embeddings_all, "metadata": metadata, "shared_semantic_ids": shared_ids, "code_means": code_means, "residual_training": residual_training, "embedded_texts": embedded_texts, "ridge_fit": ridge,
+    "named_embeddings": named_embeddings, "metadata": metadata, "shared_semantic_ids": shared_ids, "code_means": code_means, "residual_training": residual_training, "embedded_texts": embedded_texts, "ridge_fit": ridge,
 }
 ORACLES = {
     "positive_edges": f"WITH {_ED} SELECT user_id, anime_id FROM ed",
     "item_support": f"WITH {_SU} SELECT anime_id, CAST(support AS BIGINT) AS support FROM su",
-    "cooccurrence": f"WITH {_CO} SELECT anime_id, other_id, CAST(shared AS BIGINT) AS shared FROM co",
-    "proxy_neighbors": f"WITH {_PX} SELECT anime_id, other_id, jaccard, CAST(rank AS INTEGER) AS rank FROM px",
-    "cooccurrence_all": f"WITH {_COA} SELECT anime_id, other_id, CAST(shared AS BIGINT) AS shared FROM co",
-    "proxy_neighbors_all": f"WITH {_PXA} SELECT anime_id, other_id, jaccard, CAST(rank AS INTEGER) AS rank FROM px",
+    "cooccurrence": f"WITH {_COA} SELECT anime_id, other_id, CAST(shared AS BIGINT) AS shared FROM co",
+    "proxy_neighbors": f"WITH {_PXA} SELECT anime_id, other_id, jaccard, CAST(rank AS INTEGER) AS rank FROM px",
     "hamming_topk": f"WITH {CODES}, {_HM.format(where='a.anime_id % 50 = 0')} SELECT anime_id, other_id, distance, CAST(prefix AS INTEGER) AS prefix, CAST(rank AS INTEGER) AS rank FROM hm",
     "recall_at_k": f"WITH {_RC} SELECT anime_id, hits, CAST(wanted AS BIGINT) AS wanted, recall FROM rc",
     "recall_report": f"WITH {_RC} SELECT 'ok' AS status, {K} AS recall_k, {SUPPORT} AS min_support, count(*) AS evaluated_queries, round(avg(recall), 9) AS mean_recall, round(median(recall), 9) AS median_recall FROM rc",
@@ -235,8 +224,7 @@ ORACLES = {
     "vector_norm": "SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 5) AS norm FROM embeddings",
     "faulty_vectors": "SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN embedding IS NULL THEN 'missing' WHEN len(embedding) <> embedding_dim THEN 'length' WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 'not finite' END AS reason FROM anime_embeddings) WHERE reason IS NOT NULL GROUP BY 1",
     "dimension_range": "SELECT CAST(min(len(embedding)) AS INTEGER) AS least, CAST(max(len(embedding)) AS INTEGER) AS most FROM embeddings",
-    "named_embeddings": f"WITH {PREP} SELECT e.anime_id, coalesce(name, '') AS name, coalesce(english_name, '') AS english_name, CAST(count(*) AS BIGINT) AS n FROM anime_embeddings e JOIN prep ON prep.anime_id = e.anime_id WHERE model_name = 'tessera-text-v1' GROUP BY 1, 2, 3",
-    "named_embeddings_all": f"WITH {PREP} SELECT e.anime_id, model_name, coalesce(name, '') AS name, coalesce(english_name, '') AS english_name, coalesce(genres, '') AS genres, CAST(count(*) AS BIGINT) AS n FROM anime_embeddings e JOIN prep ON prep.anime_id = e.anime_id GROUP BY ALL",
+    "named_embeddings": f"WITH {PREP} SELECT e.anime_id, model_name, coalesce(name, '') AS name, coalesce(english_name, '') AS english_name, coalesce(genres, '') AS genres, CAST(count(*) AS BIGINT) AS n FROM anime_embeddings e JOIN prep ON prep.anime_id = e.anime_id GROUP BY ALL",
     "metadata": f"WITH {PREP}, {CODES} SELECT anime_id, name, type, source FROM prep WHERE anime_id IN (SELECT anime_id FROM codes)",
     "shared_semantic_ids": f"WITH {SEM} SELECT semantic_id, CAST(count(*) AS BIGINT) AS n, min(anime_id) AS first_id FROM sem GROUP BY 1",
     "code_means": f"WITH {CODES} SELECT anime_id, round(avg(c / 2048.0::DOUBLE), 9) AS m1, round(avg(CAST(c % 7 AS DOUBLE)), 9) AS m2 FROM (SELECT anime_id, unnest(codes) AS c FROM codes) WHERE c BETWEEN 0 AND 2047 GROUP BY 1",

@@ -13,11 +13,12 @@ from seqloom.operators.tasks import fact_rows, item_facts, liked_rows, template_
 from seqloom.plans.runs import training_summary
 from seqloom.plans.training_set import PrepSettings, pools, training_set
 from seqloom.queries.common import PREP, SEM, UA, collapse, interactions, names, one_prep, semantic
-from seqloom.session import table
+from seqloom.session import checkpoint, table
 
 
 def _known(spark: SparkSession, d: str) -> DataFrame:
-    return known_interactions(interactions(spark, d), semantic(spark, d))
+    """Known interactions, written once: histories and likes would each merge the log again."""
+    return checkpoint(known_interactions(interactions(spark, d), semantic(spark, d)))
 
 
 def _history(spark: SparkSession, d: str) -> DataFrame:
@@ -59,7 +60,7 @@ def liked_top3(spark: SparkSession, d: str) -> DataFrame:
 
 def _seeds(spark: SparkSession, d: str) -> DataFrame:
     known = _known(spark, d)
-    return seeds(liked_items(histories(known), known))
+    return checkpoint(seeds(liked_items(histories(known), known)))
 
 
 def seed_kinds(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +68,7 @@ def seed_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
-    return item_facts(semantic(spark, d), one_prep(spark, d))
+    return checkpoint(item_facts(semantic(spark, d), one_prep(spark, d)))
 
 
 def task_c_single(spark: SparkSession, d: str) -> DataFrame:
@@ -253,7 +254,7 @@ QUERIES = {
     "task_c_seeds": seed_kinds, "task_c_single": task_c_single, "task_c_triple": task_c_triple, "year_spread": spread, "task_a_templates": task_a, "template_counts": task_a_counts,
     "scan_stats": scan_stats, "early_stop_users": early_stop, "running_totals": running, "quota_sample": quota_sample, "oversample_cycles": oversample, "train_eval_split": train_eval,
     "example_ids": example_ids, "domain_rows": domain_counts, "stage_mix": mixed_stage, "group_quotas": group_quotas, "prompt_response": question_answers, "instruction_format": instruction_format,
-    "quota_table": quota_table, "training_set": assembled, "training_pools": pool_sizes, "training_set_full": assembled_full, "example_summary": example_summary, "epoch_means": epoch_means, "perplexity": loss_perplexity,
+    "quota_table": quota_table, "training_set": assembled_full, "training_pools": pool_sizes, "training_set_early_stop": assembled, "example_summary": example_summary, "epoch_means": epoch_means, "perplexity": loss_perplexity,
 }
 ORACLES = {
     "user_history_topn": f"WITH {_HI} SELECT user_id, pos, anime_id, history_len FROM hi WHERE total >= 4",
@@ -276,13 +277,15 @@ ORACLES = {
     "train_eval_split": f"SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY {_MD.format(seed=7, k='o_orderkey')}, o_orderkey) <= greatest(1, round_even((SELECT count(*) FROM orders) * 0.1, 0)) THEN 'eval' ELSE 'train' END AS part FROM orders",
     "example_ids": f"SELECT 'prep_' || lpad(CAST(row_number() OVER (ORDER BY {_MD.format(seed=7, k='c_custkey')}, c_custkey) AS VARCHAR), 9, '0') AS example_id, c_custkey FROM customer",
     "domain_rows": "SELECT upper(task) AS task, CAST(count(*) AS BIGINT) AS n, CAST(sum(length(trim(input))) AS BIGINT) AS chars FROM llm_prep_train WHERE trim(input) <> '' AND trim(output) <> '' GROUP BY 1",
+    "stage_mix": """WITH t AS (SELECT count(*) AS n FROM llm_prep_train WHERE trim(input) <> '' AND trim(output) <> ''), w AS (SELECT CAST(round_even(n * 0.85, 0) AS BIGINT) AS a, CAST(round_even(n * 0.10, 0) AS BIGINT) AS b, CAST(round_even(n * 0.05, 0) AS BIGINT) AS c FROM t)
+      SELECT * FROM (SELECT 'A' AS task, a AS n FROM w UNION ALL SELECT 'B', b FROM w UNION ALL SELECT 'C', c FROM w UNION ALL SELECT 'GEN', CAST(round_even((a + b + c) * 0.15 / 0.85, 0) AS BIGINT) FROM w) WHERE n > 0""",
     "group_quotas": " UNION ALL ".join(f"SELECT * FROM (SELECT o_orderkey, o_orderpriority AS p FROM orders WHERE o_orderpriority = '{p}' ORDER BY {_MD.format(seed=3, k='o_orderkey')} LIMIT {n})" for p, n in (("1-URGENT", 100), ("2-HIGH", 50))),
     "prompt_response": f"SELECT 'GEN' AS task, 'examples' AS source, CAST(count(*) AS BIGINT) AS n, CAST(sum(length({collapse('input')})) AS BIGINT) AS chars_in, CAST(sum(length({collapse('output')})) AS BIGINT) AS chars_out FROM llm_prep_train WHERE {collapse('input')} <> '' AND {collapse('output')} <> ''",
     "instruction_format": "SELECT example_id, '<|system|>' || chr(10) || 'You are a helpful assistant.' || chr(10) || '<|user|>' || chr(10) || input || chr(10) || '<|assistant|>' || chr(10) || output AS text FROM llm_prep_train WHERE input IS NOT NULL AND output IS NOT NULL",
     "quota_table": "SELECT CAST(t AS BIGINT) AS target, CAST(round_even(t * 0.5, 0) AS BIGINT) AS a, CAST(round_even(t * 0.25, 0) AS BIGINT) AS b, CAST(t - round_even(t * 0.5, 0) - round_even(t * 0.25, 0) AS BIGINT) AS c FROM (VALUES (1), (2), (3), (5), (6), (10), (11), (399999), (400000)) v(t)",
-    "training_set": "SELECT * FROM (VALUES ('A', CAST(2000 AS BIGINT), CAST(2000 AS BIGINT)), ('B', 1000, 1000), ('C', 1000, 1000)) v(task, n, ids)",
+    "training_set_early_stop": "SELECT * FROM (VALUES ('A', CAST(2000 AS BIGINT), CAST(2000 AS BIGINT)), ('B', 1000, 1000), ('C', 1000, 1000)) v(task, n, ids)",
     "training_pools": f"WITH {_PO} SELECT task, count(*) AS n, count(DISTINCT user_id) AS users, CAST(sum(length(input)) AS BIGINT) AS chars_in, CAST(sum(length(output)) AS BIGINT) AS chars_out FROM po GROUP BY 1",
-    "training_set_full": f"WITH {_DRAWN} SELECT task, CAST(sum(uses) AS BIGINT) AS n, count(DISTINCT user_id) AS users, CAST(sum(uses * length(input)) AS BIGINT) AS chars_in, CAST(sum(uses * length(output)) AS BIGINT) AS chars_out, CAST(sum(uses) AS BIGINT) AS ids FROM us WHERE uses > 0 GROUP BY 1",
+    "training_set": f"WITH {_DRAWN} SELECT task, CAST(sum(uses) AS BIGINT) AS n, count(DISTINCT user_id) AS users, CAST(sum(uses * length(input)) AS BIGINT) AS chars_in, CAST(sum(uses * length(output)) AS BIGINT) AS chars_out, CAST(sum(uses) AS BIGINT) AS ids FROM us WHERE uses > 0 GROUP BY 1",
     "example_summary": """SELECT count(*) AS examples, CAST(count_if(task = 'A') AS BIGINT) AS task_a, CAST(count_if(task = 'B') AS BIGINT) AS task_b, CAST(count_if(task = 'C') AS BIGINT) AS task_c,
       count(DISTINCT user_id) AS users, CAST(count_if(len(anime_ids) > 1) AS BIGINT) AS with_several_titles, round(avg(length(input)), 6) AS mean_input, round(avg(length(output)), 6) AS mean_output FROM llm_prep_train""",
     "epoch_means": "SELECT CAST(sum(l_quantity) AS DOUBLE) AS weight, round(sum(l_discount * l_quantity) / sum(l_quantity), 9) AS loss, round(sum(l_tax * l_quantity) / sum(l_quantity), 9) AS commit FROM lineitem",

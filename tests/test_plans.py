@@ -217,7 +217,7 @@ def test_runs(spark, tmp_path):
     assert instructions.evaluation_texts(runs.evaluation_defaults(spark), 10).count() == 4
 
 
-@pytest.mark.parametrize("name", ["training_pools", "training_set_full", "named_embeddings_all", "cooccurrence_all", "proxy_neighbors_all"])
+@pytest.mark.parametrize("name", ["training_pools", "training_set", "named_embeddings", "cooccurrence", "proxy_neighbors"])
 def test_whole_tables_equal_sql(spark, rows, name):
     import os
 
