@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,11 +18,39 @@ def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return flat.reshape(batch.num_rows, -1) if batch.num_rows else np.empty((0, 0))
 
 
+def _added_up(rows: DataFrame, parts: int, fan_in: int = 16) -> list:
+    """At most ``fan_in`` rows (part, binary and double columns) that add up to those of all parts, level by level."""
+    names = [(c, t) for c, t in rows.dtypes if c != "part"]
+
+    def add(group: pa.Table) -> pa.Table:
+        out = {"part": pa.array([group["part"][0].as_py() // fan_in], pa.int32())}
+        for c, t in names:
+            if t == "binary":
+                total = np.frombuffer(group[c][0].as_py()).copy()
+                for x in group[c][1:]:
+                    total += np.frombuffer(x.as_py())
+                out[c] = pa.array([total.tobytes()], pa.binary())
+            else:
+                out[c] = pa.array([float(np.sum(group[c].to_numpy()))])
+        return pa.table(out)
+
+    while parts > fan_in:
+        rows = rows.groupBy(F.floor(F.col("part") / fan_in).alias("g")).applyInArrow(add, rows.schema)
+        parts = -(-parts // fan_in)
+    return rows.collect()
+
+
+def _part() -> pa.Array:
+    from pyspark import TaskContext
+
+    return pa.array([TaskContext.get().partitionId()], pa.int32())
+
+
 def code_sums(vectors: DataFrame, column: str, books: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, float]:
     """(counts, sums, squared error) by code of the last of ``books`` on what the earlier ones left.
 
-    Sums are made in every Arrow batch and added up per partition; what reaches the
-    driver is one row of the codebook's size for each partition.
+    Sums are made in every Arrow batch, added up per partition and then sixteen
+    partitions at a time, so that at most sixteen codebooks reach the driver.
     """
     size, dim = books[-1].shape
 
@@ -37,9 +66,9 @@ def code_sums(vectors: DataFrame, column: str, books: Sequence[np.ndarray]) -> t
             counts += np.bincount(code, minlength=size)
             np.add.at(sums, code, left)
             error += float(((left - books[-1][code]) ** 2).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()]), pa.array([sums.tobytes()]), pa.array([error])], names=["c", "s", "e"])
+        yield pa.RecordBatch.from_arrays([_part(), pa.array([counts.tobytes()]), pa.array([sums.tobytes()]), pa.array([error])], names=["part", "c", "s", "e"])
 
-    rows = vectors.select(column).mapInArrow(run, "c binary, s binary, e double").collect()
+    rows = _added_up(vectors.select(column).mapInArrow(run, "part int, c binary, s binary, e double"), vectors.rdd.getNumPartitions())
     counts = sum((np.frombuffer(r["c"]) for r in rows), np.zeros(size))
     sums = sum((np.frombuffer(r["s"]).reshape(size, dim) for r in rows), np.zeros((size, dim)))
     return counts, sums, float(sum(r["e"] for r in rows))
@@ -123,7 +152,8 @@ def mean_rows(codes: DataFrame, key: str, column: str, book: DataFrame) -> DataF
 def ridge_fit(pairs: DataFrame, x: str, y: str, penalty: float = 1e-3, least: int = 32) -> tuple[np.ndarray, int, float]:
     """(weights, rows, mean squared error) of the ridge regression of ``y`` on ``x``, both arrays.
 
-    Gram matrices are summed per partition; the driver solves one small system.
+    Gram matrices are summed per partition and then sixteen at a time; the driver
+    solves one small system.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,13 +164,13 @@ def ridge_fit(pairs: DataFrame, x: str, y: str, penalty: float = 1e-3, least: in
                 own = [a.T @ a, a.T @ b, (b * b).sum(), float(len(a))]
                 total = own if total is None else [s + t for s, t in zip(total, own, strict=True)]
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total[0].tobytes()]), pa.array([total[1].tobytes()]), pa.array([total[2]]), pa.array([total[3]]), pa.array([len(total[0])])], names=["xx", "xy", "yy", "n", "d"])
+            yield pa.RecordBatch.from_arrays([_part(), pa.array([total[0].tobytes()]), pa.array([total[1].tobytes()]), pa.array([total[2]]), pa.array([total[3]])], names=["part", "xx", "xy", "yy", "n"])
 
-    rows = pairs.select(x, y).mapInArrow(run, "xx binary, xy binary, yy double, n double, d long").collect()
+    rows = _added_up(pairs.select(x, y).mapInArrow(run, "part int, xx binary, xy binary, yy double, n double"), pairs.rdd.getNumPartitions())
     n = int(sum(r["n"] for r in rows))
     if n < least:
         raise ValueError(f"{n} rows are too few for a fit")
-    d = rows[0]["d"]
+    d = math.isqrt(len(rows[0]["xx"]) // 8)
     xx = sum(np.frombuffer(r["xx"]).reshape(d, d) for r in rows)
     xy = sum(np.frombuffer(r["xy"]).reshape(d, -1) for r in rows)
     yy = sum(r["yy"] for r in rows)

@@ -113,3 +113,18 @@ def bucket_purity(tokens: DataFrame, min_bucket: int = 20, most: int = 20, sampl
     score = F.size(F.array_intersect("a.genres", "b.genres")) / F.size(F.array_union("a.genres", "b.genres"))
     purity = pairs.groupBy(F.col("a.first_token").alias("first_token")).agg(F.round(F.avg(score), 9).alias("avg_genre_jaccard"))
     return large.select("first_token", "bucket_size").join(purity, "first_token", "left")
+
+
+def global_purity(purity: DataFrame) -> DataFrame:
+    """One row: buckets inspected, and the mean of those purities that there are (null of none)."""
+    return purity.agg(F.count("*").alias("inspected_buckets"), F.round(F.avg("avg_genre_jaccard"), 9).alias("global_avg_genre_jaccard"))
+
+
+def bucket_samples(tokens: DataFrame, buckets: DataFrame, sample: int = 10, seed: int = 42) -> DataFrame:
+    """(first_token, samples): the members that :func:`bucket_purity` compared, with their names and genres."""
+    rows = tokens.where(F.size("tokens") > 0).withColumn("first_token", F.element_at("tokens", 1)).join(F.broadcast(buckets.select("first_token")), "first_token")
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("anime_id")))
+    place = F.row_number().over(Window.partitionBy("first_token").orderBy(order, "anime_id"))
+    shown = [c for c in ("anime_id", "name", "english_name", "genres", "semantic_id") if c in rows.columns]
+    kept = rows.withColumn("_r", place).where(F.col("_r") <= sample)
+    return kept.groupBy("first_token").agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", *shown))), lambda x: F.struct(*[x[c].alias(c) for c in shown])).alias("samples"))

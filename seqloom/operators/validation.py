@@ -32,6 +32,21 @@ def checked_vectors(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame
     return df.withColumn(vector, F.when(fault, F.raise_error(message).cast(df.schema[vector].dataType)).otherwise(F.col(vector)))
 
 
+def require_vectors(df: DataFrame, key: str, vector: str, most: int = 20) -> DataFrame:
+    """The frame, after a look at all rows: finite vectors of one length, and at least one row.
+
+    The error names up to ``most`` faulty ids in order.
+    """
+    length = dimension_range(df.where(F.col(vector).isNotNull()), vector).first()["most"]
+    if length is None:
+        raise ValueError("no vectors")
+    fault = F.col(vector).isNull() | (F.size(vector) != length) | has_non_finite(F.col(vector))
+    bad = [str(r[0]) for r in df.where(fault).select(key).orderBy(key).limit(most).collect()]
+    if bad:
+        raise ValueError(f"faulty vectors, the first of: {', '.join(bad)}")
+    return df
+
+
 def require_rows(df: DataFrame, rows: int) -> DataFrame:
     """The frame, after a count that must match."""
     found = df.count()

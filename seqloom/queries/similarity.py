@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seqloom.functions.text import genre_set
 from seqloom.functions.vectors import level_tokens, norm, parse_level_token, prefix_depth, hamming_ratio, reconstruct, semantic_id
 from seqloom.operators.codebooks import code_histogram, code_usage, mean_rows, ridge_fit, token_counts, train_codebooks, vocabulary
-from seqloom.operators.neighbours import bucket_purity, code_buckets, code_neighbours, item_support, jaccard_neighbours, positive_edges, query_items, recall_at_k, recall_examples, recall_report, shared_users
+from seqloom.operators.neighbours import bucket_purity, code_buckets, code_neighbours, global_purity, item_support, jaccard_neighbours, positive_edges, query_items, recall_at_k, recall_examples, recall_report, shared_users
 from seqloom.operators.validation import dimension_range, invalid_vectors
 from seqloom.plans.embed import HashingBackend, embed_texts
 from seqloom.plans.tokenise import semantic_ids
@@ -115,6 +115,10 @@ def purity(spark: SparkSession, d: str) -> DataFrame:
     return bucket_purity(_genred(spark, d), 5, 20, 10)
 
 
+def purity_total(spark: SparkSession, d: str) -> DataFrame:
+    return global_purity(purity(spark, d))
+
+
 def usage(spark: SparkSession, d: str) -> DataFrame:
     return code_usage(codes(spark, d), "codes", 2048).select("used", F.round("used_pct", 6).alias("used_pct"), F.round("perplexity", 6).alias("perplexity"))
 
@@ -196,7 +200,7 @@ _GS = "list_distinct(list_filter(list_transform(string_split(coalesce(genres, ''
 QUERIES = {
     "positive_edges": edges, "item_support": support, "cooccurrence": cooccurrence, "proxy_neighbors": proxy, "hamming_topk": hamming, "recall_at_k": recall, "recall_report": report,
     "recall_examples": examples, "semantic_ids": made_ids, "token_counts": counts, "vocab": vocab, "parsed_tokens": parsed, "prefix_depth": prefixes, "cluster_buckets": buckets,
-    "bucket_purity": purity, "code_usage_perplexity": usage, "code_histogram": histogram, "vector_norm": vector_norm, "faulty_vectors": faulty_vectors, "dimension_range": dimensions,
+    "bucket_purity": purity, "global_purity": purity_total, "code_usage_perplexity": usage, "code_histogram": histogram, "vector_norm": vector_norm, "faulty_vectors": faulty_vectors, "dimension_range": dimensions,
     "named_embeddings": named_embeddings, "metadata": metadata, "shared_semantic_ids": shared_ids, "code_means": code_means, "residual_training": residual_training, "embedded_texts": embedded_texts, "ridge_fit": ridge,
 }
 ORACLES = {
@@ -229,3 +233,4 @@ ORACLES = {
     "shared_semantic_ids": f"WITH {SEM} SELECT semantic_id, CAST(count(*) AS BIGINT) AS n, min(anime_id) AS first_id FROM sem GROUP BY 1",
     "code_means": f"WITH {CODES} SELECT anime_id, round(avg(c / 2048.0::DOUBLE), 9) AS m1, round(avg(CAST(c % 7 AS DOUBLE)), 9) AS m2 FROM (SELECT anime_id, unnest(codes) AS c FROM codes) WHERE c BETWEEN 0 AND 2047 GROUP BY 1",
 }
+ORACLES["global_purity"] = f"SELECT count(*) AS inspected_buckets, round(avg(avg_genre_jaccard), 9) AS global_avg_genre_jaccard FROM ({ORACLES['bucket_purity']})"
