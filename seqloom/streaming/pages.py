@@ -22,44 +22,71 @@ def page_stream(spark: SparkSession, path: str, schema: StructType | str, kind:
 
 
 class TableStore:
-    """A parquet table that is replaced as a whole: version directories under one path.
+    """A parquet table under one path that batches are merged into by key.
 
-    A reader sees the newest complete version; a batch that fails leaves it as it was.
+    A batch is written as a delta of its own rows, so its cost does not grow with the
+    table; after ``most_deltas`` of them base and deltas are merged into a new base. A
+    reader sees the newest complete base and the complete deltas after it, the highest
+    version of each key winning; a batch that fails leaves the table as it was.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), version: Sequence[Column] = (), most_deltas: int = 8) -> None:
+        self.spark, self.path, self.keys, self.order, self.most_deltas = spark, path.rstrip("/"), list(keys), list(version), most_deltas
 
-    def _fs(self):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def _file(self, name: str = ""):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def version(self) -> int:
-        fs, p = self._fs()
+    def _complete(self, kind: str) -> list[int]:
+        fs, p = self._file()
         if not fs.exists(p):
-            return -1
-        names = [s.getPath() for s in fs.listStatus(p)]
-        done = [int(n.getName()[1:]) for n in names if n.getName().startswith("v") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
-        return max(done, default=-1)
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        found = [n for n in names if n[:1] == kind and n[1:].isdigit()]
+        return sorted(int(n[1:]) for n in found if fs.exists(self._file(f"{n}/_SUCCESS")[1]))
+
+    def version(self) -> int:
+        """Number of the newest base or delta, -1 of an empty store."""
+        return max([*self._complete("v"), *self._complete("d")], default=-1)
+
+    def _parts(self) -> list[str]:
+        base = max(self._complete("v"), default=-1)
+        return ([f"v{base}"] if base >= 0 else []) + [f"d{n}" for n in self._complete("d") if n > base]
 
     def read(self) -> DataFrame | None:
-        v = self.version()
-        return None if v < 0 else self.spark.read.parquet(f"{self.path}/v{v}")
+        parts = self._parts()
+        if not parts:
+            return None
+        if len(parts) > 1 and not self.keys:
+            raise ValueError("a store with deltas is read by its keys")
+        rows = self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.path}/{n}" for n in parts])
+        return rows if len(parts) == 1 else upsert(None, rows, self.keys, self.order)
+
+    def merge(self, incoming: DataFrame) -> None:
+        """Adds the rows of a batch; the same batch again changes nothing."""
+        n = self.version() + 1
+        upsert(None, incoming, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/d{n}")
+        if len(self._parts()) > self.most_deltas:
+            self.replace(self.read())
 
     def replace(self, df: DataFrame, keep: int = 2) -> None:
-        v = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        if v - keep >= 0:
-            fs, _ = self._fs()
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{v - keep}"), True)
+        """A new base; of the bases before it the last ``keep`` - 1 stay, with the deltas after them."""
+        n = self.version() + 1
+        df.write.mode("overwrite").parquet(f"{self.path}/v{n}")
+        bases = self._complete("v")
+        if len(bases) > keep:
+            fs, _ = self._file()
+            oldest = bases[-keep]
+            for name in [f"v{b}" for b in bases if b < oldest] + [f"d{d}" for d in self._complete("d") if d < oldest]:
+                fs.delete(self._file(name)[1], True)
 
 
 def upsert_stream(stream: DataFrame, store: TableStore, keys: Sequence[str], version: Sequence[Column], checkpoint_dir: str, rows: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merge all that is there into the store, the highest version of each key winning, and stop."""
+    store.keys, store.order = list(keys), list(version)
 
     def merge(batch: DataFrame, _: int) -> None:
-        incoming = batch if rows is None else rows(batch)
-        store.replace(upsert(store.read(), incoming, keys, version))
+        store.merge(batch if rows is None else rows(batch))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
 

@@ -183,6 +183,26 @@ def test_streams(spark, tmp_path, rows):
     assert [(r["k"], r["n"]) for r in spark.sql("select * from w").collect()] == [(1, 2)]
 
 
+def test_batches_are_deltas_until_they_are_merged(spark, tmp_path, rows):
+    store = TableStore(spark, str(tmp_path / "t"), ["k"], [F.col("ver")], most_deltas=2)
+    assert store.read() is None
+    want = {}
+    for n in range(7):
+        batch = [(k, n if k % 2 else -n, f"{n}") for k in range(n, n + 3)]
+        want |= {k: (k, v, x) for k, v, x in batch if k not in want or v > want[k][1]}
+        for _ in range(1 + (n == 3)):  # one batch comes twice
+            store.merge(spark.createDataFrame(batch, "k bigint, ver int, v string"))
+        assert rows(store.read()) == sorted(want.values(), key=repr) and len(store._parts()) <= 3
+    assert len(store._complete("v")) == 2 and min(store._complete("d")) > min(store._complete("v"))
+    (tmp_path / "t" / "d99").mkdir()  # a batch that did not end
+    assert rows(store.read()) == sorted(want.values(), key=repr)
+    twice = TableStore(spark, str(tmp_path / "u"), ["k"], [F.col("ver")])
+    for _ in range(2):
+        twice.merge(spark.createDataFrame([(1, 1, "")], "k bigint, ver int, v string"))
+    with pytest.raises(ValueError, match="keys"):
+        TableStore(spark, str(tmp_path / "u")).read()
+
+
 def test_config(tmp_path):
     file = tmp_path / "c.toml"
     file.write_text('[prep]\nsplit_task_a = 0.5\nsplit_task_b = 0.3\nsplit_task_c = 0.2\ntask_b_mask_modes = ["last"]\n[train.phase1]\nweight_task_a = 0.9\n[tokenize]\nrecall_k = 5\n[rqvae]\nrq_levels = 4\n')
