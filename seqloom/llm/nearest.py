@@ -90,18 +90,18 @@ def usable_vectors(df: DataFrame, key: str, vector: str, dim: int, order: Column
             x = floats(batch["v"]).astype(np.float64)
             x /= np.sqrt((x * x).sum(1))[:, None] if len(x) else 1
             ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * np.int32(dim))
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.ListArray.from_arrays(ends, pa.array(x.astype(np.float32).ravel()))], names=["id", "vec"])
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=["id", "vec"])
 
     best = rows.mapInArrow(finite, rows.schema).groupBy("id").agg(F.max(F.struct("o", "v")).alias("m"))
-    return best.select("id", F.col("m.v").alias("v")).mapInArrow(scaled, "id long, vec array<float>")
+    return best.select("id", F.col("m.v").alias("v")).mapInArrow(scaled, "id long, vec array<double>")
 
 
-def pack_vectors(vectors: DataFrame) -> DataFrame:
-    """(id, vec) with vec in single precision, packed in bytes."""
+def pack_vectors(vectors: DataFrame, kind: type = np.float32) -> DataFrame:
+    """(id, vec) with vec packed in bytes, in single precision by default."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["id"], packed(floats(batch["vec"]).astype(np.float32))], names=["id", "vec"])
+            yield pa.RecordBatch.from_arrays([batch["id"], packed(floats(batch["vec"]).astype(kind))], names=["id", "vec"])
 
     return vectors.select("id", "vec").mapInArrow(run, "id long, vec binary")
 

@@ -261,7 +261,13 @@ _HITS = """ FROM c JOIN n na ON na.anime_id = c.a JOIN n nb ON nb.anime_id = c.b
 _GROUPS = """e AS (SELECT example_id AS id, user_id, anime_ids[1] AS anime_id, 'u' || user_id AS u, 'a' || anime_ids[1] AS a FROM llm_prep_train),
   l AS MATERIALIZED (SELECT u AS a, a AS b FROM e WHERE u IS NOT NULL AND a IS NOT NULL UNION SELECT a, u FROM e WHERE u IS NOT NULL AND a IS NOT NULL),
   g(k, r) AS (SELECT k, k FROM (SELECT DISTINCT unnest([u, a]) AS k FROM e WHERE u IS NOT NULL AND a IS NOT NULL) UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.k), m AS (SELECT k, min(r) AS r FROM g GROUP BY 1)"""
+_LINKED = f"""{_VECTORS}, l AS MATERIALIZED (SELECT a, b FROM s WHERE c >= 0.75),
+  g(id, r) AS (SELECT id, id FROM v UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.id), m AS (SELECT id, min(r) AS r FROM g GROUP BY 1)"""
 ORACLES = {
+    "p1_clusters": f"""WITH RECURSIVE {_LINKED}, u AS (SELECT id, r, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e, count(*) OVER (PARTITION BY r) AS n FROM v JOIN m USING (id)),
+  k AS (SELECT r, i, sum(e[i]) AS x FROM u, range(1, 129) t(i) GROUP BY 1, 2), o AS (SELECT r, list(x ORDER BY i) AS o FROM k GROUP BY 1),
+  y AS (SELECT id, r, n, round(list_cosine_similarity(e, o), 9) AS t FROM u JOIN o USING (r)), z AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY t DESC, id) AS p FROM y)
+  SELECT id AS anime_id, r AS cluster_id, n AS cluster_size, round(t, 6) AS typicality, CAST(CASE WHEN p <= 5 THEN p END AS INTEGER) AS typical_place FROM z""",
     "p5_forest_size": f"""WITH RECURSIVE {_GROUPS}, t AS (SELECT count(DISTINCT user_id) AS users, count(DISTINCT anime_id) AS titles FROM e WHERE user_id IS NOT NULL AND anime_id IS NOT NULL)
   SELECT users + titles - (SELECT count(DISTINCT r) FROM m) AS edges, users, titles FROM t""",
     "p5_leaks": "SELECT count(*) AS n_rows, count(DISTINCT example_id) AS n_examples, CAST(0 AS BIGINT) AS users_torn, CAST(0 AS BIGINT) AS titles_torn FROM llm_prep_train",
@@ -269,8 +275,7 @@ ORACLES = {
     "p7_faults": "SELECT pack_name, (SELECT count(*) FROM documents) AS n_items, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS over_capacity, CAST(0 AS BIGINT) AS over_segments FROM pack_sizes",
     "p8_faults": "SELECT lower(trim(source)) AS source, max_repeats, CAST(0 AS BIGINT) AS over FROM mix_targets",
     "p9_cover": r"SELECT doc_id, CAST(length(regexp_replace(text, '[\t\n\v\f\r \x1c-\x1f\x{85}\p{Z}]', '', 'g')) AS BIGINT) AS n_chars FROM documents WHERE regexp_replace(text, '[\t\n\v\f\r \x1c-\x1f\x{85}\p{Z}]', '', 'g') <> ''",
-    "p1_found": f"""WITH RECURSIVE {_VECTORS}, l AS MATERIALIZED (SELECT a, b FROM s WHERE c >= 0.75),
-  g(id, r) AS (SELECT id, id FROM v UNION SELECT l.b, g.r FROM g JOIN l ON l.a = g.id), m AS (SELECT id, min(r) AS r FROM g GROUP BY 1)
+    "p1_found": f"""WITH RECURSIVE {_LINKED}
   SELECT r AS anime_a, id AS anime_b FROM m WHERE id <> r AND r IN (SELECT r FROM m GROUP BY 1 HAVING count(*) >= 3)""",
     "p2_counts": f"""WITH {_BASKETS} SELECT c.a AS anime_a, c.b AS anime_b, n_ab, na.n AS n_a, nb.n AS n_b, t AS n_baskets,
   round(CAST(n_ab AS DOUBLE) * t / (CAST(na.n AS DOUBLE) * nb.n), 9) AS lift, round(CAST(n_ab AS DOUBLE) / (na.n + nb.n - n_ab), 9) AS jaccard {_HITS}""",
