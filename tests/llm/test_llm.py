@@ -4,11 +4,13 @@ import itertools
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from seqloom import session
 from seqloom.functions.instants import instant_micros
 from seqloom.llm import clusters, cooccurrence, mixing, nearest, packing, splits, tokens
 from seqloom.llm.sentences import sentence_spans, split_sentences
@@ -55,6 +57,50 @@ def test_clusters_are_the_linked_groups(spark, settings):
     assert got == {i + 1: want[i] + 1 for i in range(len(x))}
 
 
+def test_clusters_in_turns_and_of_two_steps(spark):
+    x = blobs(1500)
+    settings = clusters.ClusterSettings(cell_rows=40, most_leaves=128, turn_bytes=1)
+    got = {r["id"]: r["cluster"] for r in clusters.similar_groups(frame(spark, x), settings).collect()}
+    want = linked(x, 0.75)
+    assert got == {i + 1: want[i] + 1 for i in range(len(x))}
+
+
+def test_clusters_leave_no_more_on_the_disk_than_vectors_of_one_turn(spark, monkeypatch):
+    kept = []
+
+    def stored(df):
+        out, folder = session.stored(df)
+        kept.append((folder, df.columns))
+        held = sum(p.stat().st_size for f, _ in kept if Path(f.removeprefix("file:")).exists() for p in Path(f.removeprefix("file:")).rglob("*.parquet"))
+        most.append(held)
+        return out, folder
+
+    most = []
+    monkeypatch.setattr(clusters, "stored", stored)
+    x = blobs(3000, 128).astype(np.float16).astype(float)
+    rows = spark.createDataFrame([(i + 1, row.tolist(), 1) for i, row in enumerate(x)], "id bigint, v array<float>, o int").repartition(5)
+    packed = nearest.compact_vectors(rows, "id", "v", 128, F.col("o"), F.lit(True))
+    assert clusters.similar_groups(packed).count() == 3000
+    assert max(most) < 3 * 3000 * 257
+    assert not any(Path(f.removeprefix("file:")).exists() for f, _ in kept)
+
+
+def test_compact_vectors_are_the_usable_ones(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 8)).astype(np.float32)
+    x[::2] = x[::2].astype(np.float16)  # half precision holds them
+    rows = [(i // 3, [float(v) for v in x[i]], int(rng.integers(2)) if i % 7 else None) for i in range(60)]
+    rows += [(90, [0.0] * 8, 1), (91, [1.0] * 7, 1), (92, [1.0] * 7 + [math.nan], 1), (93, [1e6] + [1.0] * 7, 1), (None, [1.0] * 8, 1)]
+    rows += [(94, [-0.0, 2.0] + [1.0] * 6, 1), (94, [0.0, 1.0] + [1.0] * 6, 1), (95, [1.0, 0.1] + [1.0] * 6, 1), (95, [1.0, 0.5] + [1.0] * 6, 1), (96, [1.0, 0.7] + [1.0] * 6, 1), (96, [1.0, 0.5] + [1.0] * 6, 1)]
+    df = spark.createDataFrame(rows, "id bigint, v array<float>, o int").repartition(3)
+    want = {r["id"]: r["vec"] for r in nearest.usable_vectors(df, "id", "v", 8, F.col("o"), F.lit(True)).collect()}
+    got = nearest.compact_vectors(df, "id", "v", 8, F.col("o"), F.lit(True)).toArrow()
+    assert got["id"].to_pylist() and sorted(got["id"].to_pylist()) == sorted(want)
+    for i, row in zip(got["id"].to_pylist(), nearest.units(got["vec"], np.float64), strict=True):
+        assert row == pytest.approx(want[i], abs=1e-12)
+    assert {len(v) for v in got["vec"].to_pylist()} == {17, 32}
+
+
 def test_cluster_description(spark):
     x = blobs(60)
     groups = clusters.similar_groups(frame(spark, x))
